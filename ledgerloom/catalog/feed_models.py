@@ -42,7 +42,8 @@ def comparable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         column, kind = F.col(f"`{f.name}`"), f.dataType
         if isinstance(kind, T.DoubleType):
-            column = F.round(column, 6)
+            # by way of a decimal, so that engines agree on exact halves
+            column = F.round(column.cast("decimal(38,9)"), 6).cast("double")
         elif isinstance(kind, (T.IntegerType, T.ShortType)):
             column = column.cast("long")
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):

@@ -313,7 +313,7 @@ def _select(columns: str, source: str) -> str:
         name, _, kind = head.partition(":")
         value = expression or name
         value = {
-            "f": f"round({value}, 6)",
+            "f": f"CAST(round(CAST({value} AS DECIMAL(38, 9)), 6) AS DOUBLE)",
             "i": f"CAST({value} AS BIGINT)",
             "d": f"CAST({value} AS VARCHAR)",
             "t": f"strftime({value}, '%Y-%m-%d %H:%M:%S.%f')",
@@ -649,8 +649,8 @@ _STATEMENTS = {
 SELECT 'raw' AS table_name, count(*) AS total_rows, count(DISTINCT id) AS unique_orders FROM raw_orders
 UNION ALL SELECT 'staging', count(*), count(DISTINCT order_id) FROM so""",
     "dedup_revenue_compare": """
-SELECT 'raw' AS source, round(sum(total_price::DOUBLE), 6) AS total_revenue FROM raw_orders
-UNION ALL SELECT 'staging', round(sum(total_amount), 6) FROM so""",
+SELECT 'raw' AS source, round(sum(total_price::DOUBLE)::DECIMAL(38, 9), 6)::DOUBLE AS total_revenue FROM raw_orders
+UNION ALL SELECT 'staging', round(sum(total_amount)::DECIMAL(38, 9), 6)::DOUBLE FROM so""",
     "dedup_monitor": """
 SELECT entity, raw_rows, clean_rows, round(100 * (1 - clean_rows / raw_rows), 2) AS dedup_rate_pct FROM (
 SELECT 'orders' AS entity, (SELECT count(*) FROM raw_orders) AS raw_rows, (SELECT count(*) FROM so) AS clean_rows

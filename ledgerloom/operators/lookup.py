@@ -75,7 +75,7 @@ def contains_keyword(df: DataFrame, text: str, lookup: DataFrame, keyword: str)
     if n_patterns > LOOKUP_ROWS:
         raise ValueError(f"more than {LOOKUP_ROWS} keywords with wildcards")
     if n_patterns:
-        fits = F.lower("_text").like(F.concat(F.lit("%"), F.lower(keyword), F.lit("%")))
+        fits = F.like(F.lower("_text"), F.concat(F.lit("%"), F.lower(keyword), F.lit("%")))
         by_pattern = texts.join(F.broadcast(patterns), fits, "inner")
         matches = by_pattern if matches is None else matches.unionByName(by_pattern)
     if matches is None:

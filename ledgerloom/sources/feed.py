@@ -66,10 +66,11 @@ def _nested(rows: DataFrame, sort_by: str, element: Column, name: str) -> DataFr
 
 
 def derive_raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw order feed as a lazy DataFrame in the :data:`RAW_ORDERS` schema."""
+    """The raw order feed in the :data:`RAW_ORDERS` schema."""
     orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     part = table(spark, folder, "part")
-    lines = _versioned_lines(table(spark, folder, "lineitem"))
+    # read three times below
+    lines = store(_versioned_lines(table(spark, folder, "lineitem")), "versioned_lines")
     dates = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
 
     # versions of an order are 0..max, so the distinct ones of its lines are all of them

@@ -1,0 +1,194 @@
+import datetime as dt
+
+import pytest
+from conftest import AS_OF, by, line, order, shipment, values
+
+from ledgerloom.plans import dates, intermediate, marts, staging, variants
+from ledgerloom.plans.build import Models
+
+_TODAY = dt.date.fromisoformat(AS_OF)
+
+
+def ago(days):
+    return f"{_TODAY - dt.timedelta(days=days)} 12:00:00"
+
+
+@pytest.fixture(scope="module")
+def shop(spark, raw_rows):
+    return Models(raw_rows, AS_OF)
+
+
+@pytest.fixture(scope="module")
+def raw_rows(spark):
+    from ledgerloom import schema as S
+
+    rows = []
+    for c, n in (("n1", 1), ("n2", 2), ("n3", 3), ("n4", 4), ("n10", 10), ("n11", 11)):
+        rows += [order(f"{c}-{i:02d}", customer=c, created_at=ago(20 + i), total_price="1") for i in range(n)]
+    for d in (30, 31, 90, 91, 180, 181):
+        rows.append(order(f"d{d}", customer=f"d{d}", created_at=ago(d)))
+    for v in ("99.99", "100", "499.99", "500", "1999.99", "2000"):
+        rows.append(order(f"v{v}", customer=f"v{v}", created_at=ago(5), total_price=v))
+    rows.append(order("x1", customer="x", created_at=ago(9), cancel_reason="Customer", source_name="pos", email="x1@b.co"))
+    rows.append(order("x2", customer="x", created_at=ago(8), email="x2@b.co", total_discounts="5",
+                      subtotal_price="0", buyer_accepts_marketing="true"))
+    rows.append(order("guest", customer=None, created_at=ago(8), line_items=[line("g1", product_id=None)]))
+    for i, total in enumerate(("24.99", "25", "99.99", "100", "249.99", "250", None)):
+        rows.append(order(f"s{i}", customer="s", created_at=ago(40), total_price=total))
+    rows.append(order("p1", customer="p", created_at=ago(100), line_items=[
+        line("p1a", product_id="A", variant_title="old", quantity="2", price="10"),
+        line("p1b", product_id="B", quantity="4", price="5"),
+        line("p1c", product_id="D91"), line("p1d", product_id="A", quantity="1", price="10"),
+    ], fulfillments=[shipment("f1", created_at=ago(98), shipment_status="delivered"),
+                     shipment("f2", created_at=ago(99), shipment_status="confirmed")]))
+    rows.append(order("p2", customer="p", created_at=ago(90), line_items=[
+        line("p2a", product_id="A", variant_title=None, title="New title", quantity="1", price="10"),
+        line("p2b", product_id="B", quantity="4", price="5"), line("p2c", product_id="E90"),
+    ]))
+    rows.append(order("p3", customer="p", created_at=ago(31), line_items=[line("p3a", product_id="F31")]))
+    rows.append(order("p4", customer="p", created_at=ago(30), line_items=[line("p4a", product_id="G30")]))
+    rows.append(order("p5", customer="p", created_at=ago(91), line_items=[line("p5a", product_id="D91")]))
+    rows.append(order("tt", customer="p", test="true", created_at=ago(3), line_items=[line("t1", product_id="T")]))
+    full = [{f: r.get(f) for f in S.RAW_ORDERS.names} for r in rows]
+    return spark.createDataFrame(full, S.RAW_ORDERS)
+
+
+def test_frequency_recency_and_value_edges(shop):
+    got = by(shop.int_customer_history, "customer_id")
+    assert [got[f"n{n}"].frequency_segment for n in (1, 2, 3, 4, 10, 11)] == [
+        "one_time", "developing", "developing", "loyal", "loyal", "champion"]
+    assert [got[f"d{d}"].recency_segment for d in (30, 31, 90, 91, 180, 181)] == [
+        "active", "cooling", "cooling", "at_risk", "at_risk", "churned"]
+    assert [got[f"v{v}"].value_segment for v in ("99.99", "100", "499.99", "500", "1999.99", "2000")] == [
+        "low_value", "medium_value", "medium_value", "high_value", "high_value", "vip"]
+    assert got["n1"].avg_days_between_orders == 0.0 and got["n3"].avg_days_between_orders == 1.0
+    assert None not in got
+    assert (got["x"].acquisition_source, got["x"].customer_email) == ("pos", "x2@b.co")
+    assert got["x"].discount_usage_rate == 0.5 and got["x"].days_as_customer == 9
+
+
+def test_null_money_falls_to_the_last_label(spark, raw):
+    history = intermediate.customer_history(staging.stg_orders(raw(order("1", total_price=None))), AS_OF)
+    assert history.collect()[0].value_segment == "vip"
+
+
+def test_customer_dimension(shop):
+    got = by(shop.dim_customers, "customer_id")
+    assert got["v2000"].customer_tier == "platinum" and got["v500"].customer_tier == "silver"
+    assert got["n1"].customer_tier == "bronze"
+    assert got["x"].has_marketing_consent and not got["n1"].has_marketing_consent
+    assert got["n4"].rfm_segment == "active_loyal_low_value"
+    assert got["d181"].is_at_churn_risk and not got["d91"].is_at_churn_risk
+
+
+def test_gold_tier_and_risk_of_valuable_customers(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.functions import segments
+
+    df = spark.createDataFrame(
+        [("high_value", "loyal", "at_risk"), ("high_value", "developing", "at_risk"), ("low_value", "loyal", "at_risk")],
+        "v string, f string, r string")
+    got = df.select(
+        segments.customer_tier(F.col("v"), F.col("f")).alias("t"), segments.churn_risk(F.col("r"), F.col("v")).alias("c")
+    ).collect()
+    assert [tuple(r) for r in got] == [("gold", True), ("silver", True), ("bronze", False)]
+
+
+def test_enriched_orders(shop):
+    got = by(shop.int_orders_enriched, "order_id")
+    assert [got[f"s{i}"].order_size_bucket for i in range(7)] == [
+        "small", "medium", "medium", "large", "large", "enterprise", "enterprise"]
+    assert got["x2"].discount_rate is None  # nothing to divide by
+    assert got["x1"].is_canceled and not got["x2"].is_canceled
+    p1 = got["p1"]
+    assert (p1.line_item_count, p1.total_quantity, p1.line_items_total) == (4, 8, 60.0)
+    assert (p1.fulfillment_count, p1.is_fully_delivered, p1.hours_to_first_fulfillment) == (2, True, 24)
+    s0 = got["s0"]
+    assert (s0.line_item_count, s0.line_items_total, s0.fulfillment_count, s0.is_fully_delivered) == (0, 0.0, 0, False)
+    assert s0.hours_to_first_fulfillment is None
+
+
+def test_day_after_a_cancelled_first_order(shop):
+    day = by(shop.fct_daily_revenue, "order_date")[_TODAY - dt.timedelta(days=8)]
+    # x1 was first and is cancelled, so x2 counts as returning; the guest counts as new
+    assert (day.order_count, day.new_customer_orders, day.returning_customer_orders) == (2, 1, 1)
+    assert day.unique_customers == 1 and day.revenue_per_customer == 100.0
+    assert _TODAY - dt.timedelta(days=9) not in by(shop.fct_daily_revenue, "order_date")
+
+
+def test_daily_invariants(shop):
+    rows = marts.fct_daily_revenue(shop.fct_orders).collect()
+    assert [r.order_date for r in rows] == sorted((r.order_date for r in rows), reverse=True)
+    for r in rows:
+        assert r.order_count == r.new_customer_orders + r.returning_customer_orders
+        if r.unique_customers:
+            assert r.revenue_per_customer == pytest.approx(r.total_revenue / r.unique_customers)
+        assert r.new_customer_rate == pytest.approx(r.new_customer_orders / r.order_count)
+    kept = shop.fct_orders.where("not is_canceled")
+    assert sum(r.order_count for r in rows) == kept.count()
+
+
+def test_products(shop):
+    got = by(shop.dim_products, "product_id")
+    assert "T" in got and None not in got  # lines of test orders count, lines without a product do not
+    a = got["A"]
+    assert (a.product_title, a.variant_title) == ("New title", None)
+    assert (a.order_count, a.total_quantity_sold, a.total_revenue) == (2, 4, 40.0)
+    assert a.avg_quantity_per_order == pytest.approx(4 / 3)
+    assert a.revenue_per_unit == 10.0
+    # A and B tie on revenue; the next one leaves a gap
+    assert (a.revenue_rank, got["B"].revenue_rank) == (1, 1)
+    assert min(r.revenue_rank for k, r in got.items() if k not in "AB") == 3
+    assert {k: got[k].product_status for k in ("D91", "E90", "F31", "G30")} == {
+        "D91": "dormant", "E90": "active", "F31": "active", "G30": "new"}
+    assert a.days_since_last_sale == 90 and a.product_tier == "top_10"
+    for r in got.values():
+        assert r.revenue_rank == 1 + sum(o.total_revenue > r.total_revenue for o in got.values())
+        assert r.quantity_rank == 1 + sum(o.total_quantity_sold > r.total_quantity_sold for o in got.values())
+
+
+def test_first_and_last_order_attributes(shop):
+    got = by(variants.first_last_order_attrs(shop.stg_orders, AS_OF), "customer_id")["x"]
+    assert (got.acquisition_source, got.latest_order_source, got.customer_email) == ("pos", "web", "x2@b.co")
+    assert got.canceled_order_count == 1 and got.latest_referring_site == "direct"
+
+
+def test_documented_history_has_no_gap_for_one_order(shop):
+    got = by(variants.customer_status_mix(shop.stg_orders, AS_OF), "customer_id")
+    assert got["n1"].avg_days_between_orders is None and got["n2"].avg_days_between_orders == 1.0
+    assert got["x"].order_sources == ["pos", "web"] and got["x"].first_orders == 1
+
+
+def test_date_dimension(spark):
+    rows = by(dates.dim_dates(dates.date_spine(spark), AS_OF), "date_day")
+    assert len(rows) == 4018
+    d = rows[dt.date(2024, 1, 1)]
+    assert (d.date_key, d.year_quarter, d.month_name, d.day_short, d.fiscal_year) == (
+        "20240101", "2024-Q1", "January", "Mon", 2023)
+    assert d.is_holiday and not d.is_weekend
+    assert rows[dt.date(2024, 2, 1)].fiscal_year == 2024
+    for day, row in rows.items():
+        assert row.week_of_year == int(day.strftime("%U"))
+        assert row.day_of_week == (day.isoweekday() % 7) + 1
+        assert row.is_weekend == (day.isoweekday() >= 6)
+    assert [k for k, r in rows.items() if r.is_today] == [_TODAY]
+    assert [k for k, r in rows.items() if r.is_yesterday] == [_TODAY - dt.timedelta(days=1)]
+    assert min(k for k, r in rows.items() if r.is_current_month) == dt.date(2024, 7, 1)
+    assert min(k for k, r in rows.items() if r.is_current_year) == dt.date(2024, 1, 1)
+
+
+def test_months_without_sales_are_zero(spark, shop):
+    calendar = dates.dim_dates(dates.date_spine(spark, "2024-01-01", "2024-12-31"), AS_OF)
+    got = {r.year_month: r.revenue for r in dates.revenue_per_month(calendar, shop.fct_orders).collect()}
+    assert len(got) == 12 and got["2024-11"] == 0.0 and got["2024-06"] > 0
+    sold = values(dates.revenue_per_sold_month(shop.fct_orders), "order_month")
+    assert (11,) not in sold
+
+
+def test_rejoined_children_multiply(shop):
+    from ledgerloom.operators.nested import rejoin_children
+
+    rows = rejoin_children(shop.stg_orders, shop.stg_line_items, shop.stg_fulfillments)
+    assert rows.where("order_id = 'p1'").count() == 4 * 2
+    assert rows.where("order_id = 's0'").count() == 1

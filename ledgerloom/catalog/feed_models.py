@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.plans.build import Models
+from ledgerloom.session import use_settings
 from ledgerloom.sources import feed
 
 
@@ -27,6 +28,7 @@ _models: dict[tuple, FeedModels] = {}
 
 def models_for(spark: SparkSession, folder: str) -> FeedModels:
     """The session's models of a folder; files that have changed since give new ones."""
+    use_settings(spark)
     folder = folder.rstrip("/")
     place = (spark.sparkContext.applicationId, folder)
     stamp = feed.tables_stamp(spark, folder, _FEED_TABLES)

@@ -276,6 +276,15 @@ SELECT *, CASE WHEN revenue_rank > 100 THEN 'other' WHEN revenue_rank > 50 THEN
     ELSE 'new' END AS product_status
 FROM ranked_products"""
 
+STEPS["order_changes"] = """
+SELECT *, lead(synced_at) OVER o AS valid_to, lead(synced_at) OVER o IS NULL AS is_current,
+  synced_at AS valid_from
+FROM (SELECT *, row_number() OVER o = 1
+        OR (payment_status, fulfillment_status, cancellation_reason, total_amount) IS DISTINCT FROM
+           lag((payment_status, fulfillment_status, cancellation_reason, total_amount)) OVER o AS changed
+      FROM typed WINDOW o AS (PARTITION BY order_id ORDER BY synced_at, order_updated_at, _daton_batch_id))
+WHERE changed WINDOW o AS (PARTITION BY order_id ORDER BY synced_at, order_updated_at, _daton_batch_id)"""
+
 STEPS["days"] = """
 SELECT unnest(generate_series(min(order_created_at)::DATE, max(order_created_at)::DATE,
   INTERVAL 1 DAY))::DATE AS date_day FROM so"""
@@ -585,6 +594,14 @@ SELECTS: dict[str, tuple[str, str]] = {
         "discount_rate:f=total_discounts/nullif(total_revenue+total_discounts,0)", "per_product"),
     "fct_line_items": (
         "line_item_id order_id product_id quantity unit_price:f line_total:f=line_total_before_discount", "sl"),
+    "incremental_equals_full": (
+        "order_id payment_status total_amount:f synced_at:t _daton_batch_id", "newest"),
+    "stream_ingest": (
+        "order_id payment_status total_amount:f synced_at:t _daton_batch_id", "newest"),
+    "orders_scd2": (
+        "order_id payment_status fulfillment_status cancellation_reason total_amount:f valid_from:t "
+        "valid_to:t is_current", "order_changes"),
+    "surrogate_keys": ("order_id line_item_id line_key=sha256(order_id||'|'||line_item_id)", "sl"),
     "check_unique": ("customer_id n_rows=count(*)", "fo GROUP BY customer_id HAVING count(*) > 1"),
     "check_not_null": ("order_id", "so WHERE customer_id IS NULL"),
     "check_not_null_where": ("order_id", "fo WHERE NOT is_canceled AND customer_id IS NULL"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,13 +17,15 @@ from ledgerloom.functions.scalars import divide_or_null, from_epoch_millis
 from ledgerloom.operators import dedup, lookup as lk, nested, profile, ranking
 from ledgerloom.operators import windows as win
 from ledgerloom.operators.stored import store
-from ledgerloom.plans import dates, intermediate as mid, marts, staging, variants
+from ledgerloom.plans import changes, dates, intermediate as mid, marts, staging, variants
 from ledgerloom.session import shared_folder
 from ledgerloom.sources import files
+from ledgerloom.streaming import feed as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EVENTS_AS_OF = "2024-02-01 06:00:00"
 STAR_SINCE = "2000-01-01"
+INCREMENT_AT = "1998-06-01"
 
 
 def query(answer: Callable[[FeedModels], DataFrame]):
@@ -287,8 +290,9 @@ def dedup_qualify(m):
 
 @query
 def dedup_debug_rank(m):
+    hot = win.hot_groups(m.raw, {"order_id": F.col("id")})
     ranked = dedup.rank_versions(
-        staging.typed_orders(m.raw), ["order_id"], staging.order_recency(), "debug_row_num"
+        staging.typed_orders(m.raw), ["order_id"], staging.order_recency(), "debug_row_num", hot
     )
     return ranked.select("order_id", "synced_at", "debug_row_num")
 
@@ -676,6 +680,41 @@ def fct_line_items(m):
     return marts.fct_line_items(m.stg_line_items)
 
 
+# --- changes over time ---------------------------------------------------------
+
+@query
+def incremental_equals_full(m):
+    # what came up to a sync time is in the table, the rest arrives: the result is the full rebuild
+    versions = staging.typed_orders(m.raw)
+    early = F.col("synced_at") <= F.lit(INCREMENT_AT).cast("timestamp")
+    kept = store(dedup.latest_per_key(versions.where(early), ["order_id"], staging.order_recency()), "kept")
+    now = dedup.upsert_latest(kept, versions.where(~early), ["order_id"], staging.order_recency())
+    return now.select("order_id", "payment_status", "total_amount", "synced_at", "_daton_batch_id")
+
+
+@query
+def orders_scd2(m):
+    return changes.order_versions(m.raw)
+
+
+@query
+def surrogate_keys(m):
+    return m.stg_line_items.select(
+        "order_id", "line_item_id", changes.surrogate_key("order_id", "line_item_id").alias("line_key")
+    )
+
+
+@query
+def stream_ingest(m):
+    root = f"{shared_folder(m.spark)}/ledgerloom/{m.spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
+    m.raw.write.json(f"{root}/in")
+    streaming.ingest(m.spark, f"{root}/in", f"{root}/raw", f"{root}/progress")
+    landed = streaming.landed(m.spark, f"{root}/raw")
+    return staging.latest_orders(landed).select(
+        "order_id", "payment_status", "total_amount", "synced_at", "_daton_batch_id"
+    )
+
+
 # --- data checks -----------------------------------------------------------------
 
 @query

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.windows import row_number, with_group_metrics
 
-def rank_versions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Number the versions of every key, 1 being the one to keep."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+def rank_versions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, hot: Sequence[Row] = ()
+) -> DataFrame:
+    """Number the versions of every key, 1 being the one to keep; all rows stay.
+
+    ``hot`` lists the keys with more versions than one task should sort.
+    """
+    return with_group_metrics(df, keys, order, [row_number(name)], hot)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -20,7 +28,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     shuffle as well: each map task sends at most one row per key, so a key that holds
     a large share of the rows costs one row per task.
     """
-    return rank_versions(df, keys, order, "_version").where("_version = 1").drop("_version")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_version", place).where("_version = 1").drop("_version")
+
+
+def upsert_latest(
+    kept: DataFrame, arrived: DataFrame, keys: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """Fold newly arrived versions into a table that has the latest row per key.
+
+    Only keys that arrive again are compared; the rows of all others pass through.
+    """
+    came = arrived.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    touched = kept.join(came, same, "left_semi").unionByName(arrived)
+    return kept.join(came, same, "left_anti").unionByName(latest_per_key(touched, keys, order))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join side even where that costs a shuffle after the join
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -31,6 +33,13 @@ def build_session(app_name: str = "ledgerloom", master: str | None = None, **ext
     return builder.getOrCreate()
 
 
+def use_settings(spark: SparkSession) -> None:
+    """Give a session made elsewhere the same settings; the models need UTC and ANSI."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -326,13 +326,13 @@ def dedup_revenue_compare(m):
 
 @query
 def dedup_monitor(m):
-    def elements(array):
-        return m.raw.agg(F.sum(F.coalesce(F.size(f"{array}.id"), F.lit(0))).alias("raw_rows"))
+    def elements(leaf):
+        return m.raw.agg(F.sum(F.coalesce(F.size(leaf), F.lit(0))).alias("raw_rows"))
 
     return profile.dedup_rates({
         "orders": (m.raw.agg(F.count("*").alias("raw_rows")), m.stg_orders),
-        "line_items": (elements("line_items"), m.stg_line_items),
-        "fulfillments": (elements("fulfillments"), m.stg_fulfillments),
+        "line_items": (elements("line_items.quantity"), m.stg_line_items),
+        "fulfillments": (elements("fulfillments.status"), m.stg_fulfillments),
     })
 
 
@@ -594,7 +594,7 @@ def product_latest_attrs(m):
 
 @query
 def customer_sources(m):
-    return variants.customer_status_mix(m.stg_orders, m.as_of).select("customer_id", "order_sources")
+    return variants.customer_sources(m.stg_orders)
 
 
 # --- models ---------------------------------------------------------------------

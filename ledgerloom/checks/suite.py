@@ -32,7 +32,8 @@ class Check:
 
     @property
     def name(self) -> str:
-        return "_".join(x for x in (self.kind, self.table, self.column) if x)
+        parts = (self.kind, self.table, self.column, self.args.get("condition"), self.where)
+        return "_".join(x for x in parts if x)
 
 
 ROW_KINDS = ("not_null", "accepted_values", "expression", "between", "length_between", "matches")
@@ -179,3 +180,31 @@ DECLARED: tuple[Check, ...] = (
     _one_of("dim_products", "product_tier", S.PRODUCT_TIERS),
     _one_of("dim_products", "product_status", S.PRODUCT_STATUSES),
 )
+
+# The checks documented for the lookup tables.
+REGIONS = ("North America", "Europe", "Asia", "South America", "Africa", "Oceania")
+CARRIER_TYPES = ("Economy", "Standard", "Express")
+ON_LOOKUPS: tuple[Check, ...] = (
+    *_key("country_codes", "country_code"),
+    *_not_null("country_codes", "country_name", "region"),
+    _one_of("country_codes", "region", REGIONS),
+    *_key("shipping_carriers", "raw_carrier_name"),
+    *_not_null("shipping_carriers", "standardized_name"),
+    _one_of("shipping_carriers", "carrier_type", CARRIER_TYPES),
+)
+
+# Further checks documented for the models.
+FURTHER: tuple[Check, ...] = (
+    Check("stg_orders", "between", "total_amount", {"low": 0}),
+    Check("stg_orders", "length_between", "customer_email", {"low": 5, "high": 255}),
+    Check(
+        "stg_orders", "matches", "customer_email",
+        {"pattern": r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"},
+    ),
+    Check("fct_orders", "expression", args={"condition": "total_amount >= 0"}),
+    Check(
+        "fct_orders", "expression", args={"condition": "discount_amount <= subtotal_amount"},
+        description="Discounts should never exceed subtotal", owner="data_quality_team",
+    ),
+    Check("fct_orders", "not_null", "customer_id", where="is_canceled = FALSE"),
+)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.checks.suite import DECLARED, run_suite
 from ledgerloom.operators.stored import store
 from ledgerloom.plans import dates, descriptions, intermediate, marts, staging
-from ledgerloom.sources.tables import ensure_database, save_table
+from ledgerloom.sources.tables import ensure_database, save_table, save_view
 
 
 class Models:
@@ -74,7 +74,12 @@ class Models:
         return {"raw_orders": self.raw, **{n: getattr(self, n) for n in names}}
 
     def check(self) -> DataFrame:
-        return run_suite(DECLARED, self.tables())
+        """The declared checks; of the two views, the checked columns are computed once."""
+        tables = self.tables()
+        for name in ("int_orders_enriched", "int_customer_history"):
+            checked = dict.fromkeys(c.column for c in DECLARED if c.table == name)
+            tables[name] = store(tables[name].select(*checked), "checked")
+        return run_suite(DECLARED, tables)
 
 
 # Staged tables share this column, so bucketing by it makes their joins local.
@@ -83,24 +88,31 @@ BUCKETED = ("stg_orders", "stg_line_items", "stg_fulfillments", "fct_orders")
 
 
 def build(
-    spark: SparkSession, raw: DataFrame, database: str,
-    as_of: dt.date | str | None = None, buckets: int | None = None,
+    spark: SparkSession, raw: DataFrame, database: str, as_of: dt.date | str | None = None,
+    buckets: int | None = None, staged_as_views: bool = False,
 ) -> Models:
-    """Rebuild all kept models as tables of ``database``.
+    """Rebuild all kept models, staged ones in ``<database>_staging``, the others in ``<database>_marts``.
 
     With ``buckets`` the order-grained tables are stored hashed by order, and the joins
     and aggregates that enrich orders run without a shuffle. Choose it so that one
-    bucket of line items fits a task.
+    bucket of line items fits a task. ``staged_as_views`` publishes the staged models as
+    views instead: nothing is stored, and every reader computes them again.
     """
-    ensure_database(spark, database)
+    places = {True: f"{database}_staging", False: f"{database}_marts"}
+    for place in places.values():
+        ensure_database(spark, place)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        full = f"`{database}`.`{name}`"
-        hashed = (buckets, BUCKET_COLUMN) if buckets and name in BUCKETED else None
+        staged = name.startswith("stg_")
+        if staged and staged_as_views:
+            save_view(df, name)
+            return df
+        full = f"`{places[staged]}`.`{name}`"
         about = descriptions.MODELS.get(name, {})
         save_table(
-            df, full, bucket_by=hashed, description=about.get("description"),
-            columns=about.get("columns"), properties=about.get("properties"),
+            df, full, bucket_by=(buckets, BUCKET_COLUMN) if buckets and name in BUCKETED else None,
+            description=about.get("description"), columns=about.get("columns"),
+            properties=about.get("properties"),
         )
         return spark.table(full)
 

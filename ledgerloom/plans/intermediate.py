@@ -64,11 +64,6 @@ def orders_enriched(orders: DataFrame, lines: DataFrame, shipments: DataFrame) -
     )
 
 
-# Orders of one customer from first to last; the id settles equal times.
-def _in_time() -> Column:
-    return F.struct("order_created_at", "order_id")
-
-
 def customer_sums() -> dict[str, Column]:
     return {
         "total_orders": F.count("*"),
@@ -105,13 +100,29 @@ def customer_labels() -> list[Column]:
     ]
 
 
+def first_and_last(orders: DataFrame) -> DataFrame:
+    """Source of the first and email of the last order of each known customer.
+
+    The staged sequence singles out two orders per customer before anything is grouped.
+    """
+    place = F.col("customer_order_sequence")
+    at_an_end = (place == 1) | (place == F.col("customer_total_orders"))
+    ends = orders.where(F.col("customer_id").isNotNull() & at_an_end)
+    return ends.groupBy("customer_id").agg(
+        F.min_by("order_source", place).alias("acquisition_source"),
+        F.max_by("customer_email", place).alias("customer_email"),
+    )
+
+
 def customer_history(orders: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """One row per known customer with lifetime sums, ages in days and the three segments."""
-    summed = summarise_customers(orders, {
-        **customer_sums(),
-        "acquisition_source": F.min_by("order_source", _in_time()),
-        "customer_email": F.max_by("customer_email", _in_time()),
-    })
+    """One row per known customer with lifetime sums, ages in days and the three segments.
+
+    Numbers and text are grouped apart: sums alone stay in a hash aggregate, while text
+    in the same aggregate would have every order sorted.
+    """
+    summed = summarise_customers(orders, customer_sums()).join(
+        first_and_last(orders), "customer_id", "inner"
+    )
     span = calendar_days("first_order_at", "most_recent_order_at")
     return (
         summed.withColumns(customer_age(as_of))

@@ -237,7 +237,7 @@ def stg_line_items(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
     order windows alike. Orders with too many lines for one task are deduplicated on
     the full key and windowed in chunks.
     """
-    line_count = F.coalesce(F.size("line_items.id"), F.lit(0))  # one leaf, not the whole array
+    line_count = F.coalesce(F.size("line_items.quantity"), F.lit(0))  # one small leaf, not the array
     hot = win.hot_groups(raw, {"order_id": _cast("id", "string")}, line_count, hot_rows)
     lines = typed_lines(raw)
     key = ["order_id", "line_item_id"]
@@ -264,7 +264,7 @@ def stg_line_items(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
 
 def stg_fulfillments(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One row per shipment, with delays, place in the order, carrier and delivery flags."""
-    shipment_count = F.coalesce(F.size("fulfillments.id"), F.lit(0))
+    shipment_count = F.coalesce(F.size("fulfillments.status"), F.lit(0))
     hot = win.hot_groups(raw, {"order_id": _cast("id", "string")}, shipment_count, hot_rows)
     shipments = latest_per_key(typed_shipments(raw), ["fulfillment_id"], shipment_recency())
     shipments = win.with_group_metrics(

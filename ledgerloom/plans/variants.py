@@ -31,6 +31,15 @@ def daily_source_mix(fact: DataFrame) -> DataFrame:
     })
 
 
+def customer_sources(orders: DataFrame) -> DataFrame:
+    """The distinct sources of each known customer, sorted; empty when all are null.
+
+    Repeats go before the shuffle, so a group is as large as its list of sources.
+    """
+    pairs = orders.where(F.col("customer_id").isNotNull()).select("customer_id", "order_source").distinct()
+    return pairs.groupBy("customer_id").agg(F.sort_array(F.collect_list("order_source")).alias("order_sources"))
+
+
 def customer_status_mix(orders: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
     """Customer history with sources, refunds and cancellations.
 
@@ -39,10 +48,9 @@ def customer_status_mix(orders: DataFrame, as_of: dt.date | str | None = None) -
     summed = mid.summarise_customers(orders, {
         **mid.customer_sums(),
         "first_orders": F.count_if("is_first_order"),
-        "order_sources": F.sort_array(F.collect_set("order_source")),
         "refunded_orders": F.count_if(F.col("payment_status") == "refunded"),
         "canceled_orders": F.count_if(F.col("cancellation_reason").isNotNull()),
-    })
+    }).join(customer_sources(orders), "customer_id", "inner")
     span = calendar_days("first_order_at", "most_recent_order_at")
     return (
         summed.withColumns(mid.customer_age(as_of))

@@ -2,7 +2,9 @@ import pytest
 from conftest import order
 
 from ledgerloom.checks import rows
-from ledgerloom.checks.suite import DECLARED, Check, ChecksFailed, enforce, failing_rows, run_suite
+from ledgerloom.checks.suite import (
+    DECLARED, FURTHER, ON_LOOKUPS, Check, ChecksFailed, enforce, failing_rows, run_suite,
+)
 
 
 @pytest.fixture(scope="module")
@@ -65,11 +67,11 @@ def test_suite_reports_severity_and_conditions(t):
     ]
     report = {r.check_name: r for r in run_suite(checks, {"t": t}).collect()}
     assert {k: (r.failures, r.status) for k, r in report.items()} == {
-        "not_null_t_k": (2, "fail"), "not_null_t_mail": (0, "pass"), "unique_t_k": (2, "warn"),
+        "not_null_t_k": (2, "fail"), "not_null_t_mail_n = 1": (0, "pass"), "unique_t_k": (2, "warn"),
         "accepted_values_t_n": (0, "pass"), "between_t_n": (1, "warn"), "matches_t_mail": (1, "fail"),
-        "length_between_t_mail": (1, "fail"), "expression_t": (0, "pass"), "relationships_t_k": (2, "fail"),
+        "length_between_t_mail": (1, "fail"), "expression_t_n > 0": (0, "pass"), "relationships_t_k": (2, "fail"),
     }
-    assert (report["not_null_t_mail"].description, report["not_null_t_mail"].owner) == ("mail of ones", "data")
+    assert (report["not_null_t_mail_n = 1"].description, report["not_null_t_mail_n = 1"].owner) == ("mail of ones", "data")
     for check in checks:
         assert n(failing_rows(check, {"t": t})) == report[check.name].failures
 
@@ -87,6 +89,21 @@ def test_declared_checks_pass_on_clean_orders(spark, raw):
 
     df = raw(*[order(str(i), customer=str(i % 3), line_items=[line(f"l{i}")], fulfillments=[shipment(f"f{i}")])
                for i in range(6)])
-    report = Models(df, AS_OF).check().collect()
+    models = Models(df, AS_OF)
+    report = models.check().collect()
     assert len(report) == len(DECLARED) == 49
     assert {r.status for r in report} == {"pass"}
+    further = run_suite(FURTHER, models.tables()).collect()
+    assert len(further) == len(FURTHER) and {r.status for r in further} == {"pass"}
+
+
+def test_lookup_checks(spark):
+    from ledgerloom.catalog.lookups import lookup
+
+    countries = spark.createDataFrame(
+        [("US", "United States", "North America"), ("US", None, "Atlantis")],
+        "country_code string, country_name string, region string")
+    tables = {"country_codes": countries, "shipping_carriers": lookup(spark, "shipping_carriers")}
+    failed = {r.check_name for r in run_suite(ON_LOOKUPS, tables).where("failures > 0").collect()}
+    assert failed == {"unique_country_codes_country_code", "not_null_country_codes_country_name",
+                      "accepted_values_country_codes_region"}

@@ -104,6 +104,10 @@ def test_export_of_an_empty_database_stops(spark, tmp_path):
         tables.export_database(spark, "mart_empty", str(tmp_path))
 
 
+def _tables(spark, database):
+    return {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
+
+
 def _exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
@@ -114,16 +118,27 @@ def test_build_saves_all_models_and_buckets_spare_shuffles(spark, raw):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         models = build(spark, df, "built", as_of=AS_OF, buckets=4)
-        assert {t.name for t in spark.catalog.listTables("built") if not t.isTemporary} == {
-            "stg_orders", "stg_line_items", "stg_fulfillments", "fct_orders", "fct_daily_revenue",
-            "dim_customers", "dim_products", "dim_dates"}
+        assert _tables(spark, "built_staging") == {"stg_orders", "stg_line_items", "stg_fulfillments"}
+        assert _tables(spark, "built_marts") == {
+            "fct_orders", "fct_daily_revenue", "dim_customers", "dim_products", "dim_dates"}
         assert models.int_orders_enriched.count() == 8
         assert _exchanges(models.int_orders_enriched) == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert spark.table("built.fct_daily_revenue").collect()[0].order_date == dt.date(2024, 1, 1)
-    assert "fct_orders" in tables.export_database(spark, "built", shared_folder(spark) + "/export")
+    assert spark.table("built_marts.fct_daily_revenue").collect()[0].order_date == dt.date(2024, 1, 1)
+    about = spark.catalog.getTable("built_marts.fct_orders").description
+    assert about.endswith("Grain: one row per order.")
+
+
+def test_command_loads_builds_checks_and_exports(spark, tmp_path):
+    from ledgerloom.__main__ import run
+
+    path = write_jsonl(tmp_path / "o.jsonl", *[order(str(i), line_items=[line(f"l{i}")]) for i in range(3)])
+    out = run(spark, raw=path, database="shop", as_of=AS_OF, export=str(tmp_path / "out"), views=True)
+    assert out["loaded"] == 3 and out["checks"] == {"pass": 49}
+    assert sorted(out["exported"]) == ["dim_customers", "dim_dates", "dim_products", "fct_daily_revenue", "fct_orders"]
+    assert spark.table("shop_raw.orders").count() == 3 and _tables(spark, "shop_staging") == set()
 
 
 def test_shared_folder_is_the_named_one(spark):

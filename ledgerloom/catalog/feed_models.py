@@ -38,12 +38,28 @@ def models_for(spark: SparkSession, folder: str) -> FeedModels:
     return known[1]
 
 
+# Integers and flags that may be null. Data frames of different engines hold those in
+# different types, so they are compared as doubles and as text.
+NULLABLE_NUMBERS = {
+    "days_since_previous_order", "hours_to_first_fulfillment", "n_fulfillments", "quantity",
+    "weight_grams", "fulfillable_quantity",
+}
+NULLABLE_FLAGS = {
+    "is_test_order", "is_confirmed", "is_tax_inclusive", "requires_shipping", "is_taxable",
+    "is_gift_card", "product_exists",
+}
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Values in a form that other engines print alike: rounded doubles, longs, times as text."""
     out = []
     for f in df.schema.fields:
         column, kind = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(kind, T.DoubleType):
+        if f.name in NULLABLE_NUMBERS:
+            column = column.cast("double")
+        elif f.name in NULLABLE_FLAGS:
+            column = column.cast("string")
+        elif isinstance(kind, T.DoubleType):
             # by way of a decimal, so that engines agree on exact halves
             column = F.round(column.cast("decimal(38,9)"), 6).cast("double")
         elif isinstance(kind, (T.IntegerType, T.ShortType)):

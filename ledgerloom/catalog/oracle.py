@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from ledgerloom.catalog.feed_models import NULLABLE_FLAGS, NULLABLE_NUMBERS
 from ledgerloom.catalog.lookups import as_values
 from ledgerloom.checks.suite import DECLARED
 from ledgerloom.sources.feed import AS_OF
@@ -333,6 +334,10 @@ def _select(columns: str, source: str) -> str:
             "nb": "CAST(NULL AS BOOLEAN)",
             "": value,
         }[kind]
+        if name in NULLABLE_NUMBERS:
+            value = f"CAST({value} AS DOUBLE)"
+        elif name in NULLABLE_FLAGS:
+            value = f"CAST({value} AS VARCHAR)"
         out.append(f"{value} AS {name}")
     return "SELECT " + ", ".join(out) + " FROM " + source
 

@@ -25,7 +25,7 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose key has no parent; null keys pass, null parents change nothing."""
-    keys = parent.select(F.col(field).alias("_parent"))
+    keys = parent.select(F.col(field).alias("_parent")).distinct()
     rows = child.where(F.col(column).isNotNull())
     return rows.join(keys, rows[column] == keys["_parent"], "left_anti")
 
@@ -55,8 +55,8 @@ def matches(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 
 def without_children(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
-    """Parents that no child row points to."""
-    keys = child.select(F.col(key).alias("_child")).where(F.col("_child").isNotNull())
+    """Parents that no child row points to. Repeated child keys go before the shuffle."""
+    keys = child.select(F.col(key).alias("_child")).where(F.col("_child").isNotNull()).distinct()
     return parent.join(keys, parent[key] == keys["_child"], "left_anti")
 
 

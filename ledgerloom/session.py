@@ -15,7 +15,6 @@ SETTINGS = {
     # split a skewed join side even where that costs a shuffle after the join
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 _local_folders: dict[str, str] = {}

@@ -1,6 +1,8 @@
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -101,3 +103,19 @@ def test_staged_models_split_alike(spark, raw):
     for model, limit in ((staging.stg_orders, 8), (staging.stg_line_items, 15), (staging.stg_fulfillments, 6)):
         plain_rows, split_rows = model(df).collect(), model(df, hot_rows=limit).collect()
         assert sorted(map(str, plain_rows)) == sorted(map(str, split_rows))
+
+
+_rows = st.lists(
+    st.tuples(st.sampled_from([None, "a", "b"]), st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_rows, chunks=st.integers(1, 5))
+def test_any_group_may_be_split(spark, rows, chunks):
+    numbered = [(k, t, i, None if v is None else float(v)) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(numbered, "k string, t int, id int, v double")
+    order = [F.col("t").asc(), F.col("id").desc()]
+    split = win.split_window(df, ["k"], order, METRICS, chunks=chunks)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain(df, ["k"], order).collect()))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,8 @@ from ledgerloom.functions import segments
 from ledgerloom.functions.scalars import divide_or_null, from_epoch_millis
 from ledgerloom.operators import dedup, lookup as lk, nested, profile, ranking
 from ledgerloom.operators import windows as win
-from ledgerloom.operators.stored import store
+from ledgerloom.operators.stored import new_folder, store
 from ledgerloom.plans import changes, dates, intermediate as mid, marts, staging, variants
-from ledgerloom.session import shared_folder
 from ledgerloom.sources import files
 from ledgerloom.streaming import feed as streaming
 
@@ -40,8 +38,8 @@ def query(answer: Callable[[FeedModels], DataFrame]):
 
 @query
 def scan_jsonl(m):
-    path = f"{shared_folder(m.spark)}/ledgerloom/{m.spark.sparkContext.applicationId}/jsonl"
-    m.raw.write.mode("overwrite").json(path)
+    path = new_folder(m.spark, "jsonl")
+    m.raw.write.json(path)
     read = files.read_jsonl(m.spark, path)
     return read.select(
         F.col("id").alias("order_id"), "_daton_batch_id", "total_price",
@@ -52,8 +50,8 @@ def scan_jsonl(m):
 
 @query
 def scan_lookup_csv(m):
-    path = f"{shared_folder(m.spark)}/ledgerloom/{m.spark.sparkContext.applicationId}/lookup"
-    _countries(m).write.mode("overwrite").option("header", True).csv(path)
+    path = new_folder(m.spark, "lookup")
+    _countries(m).write.option("header", True).csv(path)
     return files.read_lookup(m.spark, path, S.COUNTRY_CODES)
 
 
@@ -706,7 +704,7 @@ def surrogate_keys(m):
 
 @query
 def stream_ingest(m):
-    root = f"{shared_folder(m.spark)}/ledgerloom/{m.spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex}"
+    root = new_folder(m.spark, "stream")
     m.raw.write.json(f"{root}/in")
     streaming.ingest(m.spark, f"{root}/in", f"{root}/raw", f"{root}/progress")
     landed = streaming.landed(m.spark, f"{root}/raw")

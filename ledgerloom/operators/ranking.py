@@ -8,38 +8,43 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.windows import group_count, group_sum, row_number, running_sum, split_window
 
 
-def _with_ties_above(df: DataFrame, by: str, descending: bool) -> DataFrame:
-    """Per row: ``_above`` rows that sort strictly before its value, and ``_rows`` in all.
+def _places(df: DataFrame, by: str, descending: bool) -> DataFrame:
+    """Per distinct value: ``_above`` rows that sort strictly before it, and ``_rows`` in all.
 
-    Counts per distinct value are summed in order and joined back, so rows that tie are
-    never gathered: a value shared by a third of the table is one counted row, and the
-    join back is an equality join that AQE may split.
+    Counts per value are summed in order, so rows that tie are never gathered: a value
+    shared by a third of the table is one counted row.
     """
     counts = df.groupBy(by).agg(F.count("*").alias("_ties"))
     order = F.col(by).desc() if descending else F.col(by).asc()
     summed = split_window(
         counts, [], [order], [running_sum("_ties", "_upto"), group_sum("_ties", "_rows")]
     )
-    above = summed.select(
+    return summed.select(
         F.col(by).alias("_by"), (F.col("_upto") - F.col("_ties")).alias("_above"), "_rows"
     )
-    return df.join(above, df[by].eqNullSafe(above["_by"]), "inner").drop("_by")
 
 
-def with_rank(df: DataFrame, by: str, name: str, descending: bool = True) -> DataFrame:
-    """RANK() over the whole table: equal values share a rank and leave a gap.
+def _beside(df: DataFrame, by: str, places: DataFrame, value: Column, name: str) -> DataFrame:
+    """Join a value's place to its rows; an equality join that AQE may split at a hot value."""
+    named = places.select("_by", value.alias(name))
+    return df.join(named, df[by].eqNullSafe(named["_by"]), "inner").drop("_by")
 
-    Pass a stored table: both sides of the join back must see the same numbers.
+
+def with_ranks(df: DataFrame, ranks: dict[str, str], descending: bool = True) -> DataFrame:
+    """RANK() over the whole table per (name, column): equal values share a rank and leave a gap.
+
+    Pass a stored table: it is read once per rank, and all readings must see the same numbers.
     """
-    ranked = _with_ties_above(df, by, descending)
-    return ranked.select(*df.columns, (F.col("_above") + 1).alias(name))
+    ranked = df
+    for name, by in ranks.items():
+        ranked = _beside(ranked, by, _places(df, by, descending), F.col("_above") + 1, name)
+    return ranked
 
 
 def with_percent_rank(df: DataFrame, by: str, name: str, descending: bool = False) -> DataFrame:
     """PERCENT_RANK() over the whole table: (rank - 1) / (rows - 1), 0 for a single row."""
-    ranked = _with_ties_above(df, by, descending)
     share = F.when(F.col("_rows") > 1, F.col("_above") / (F.col("_rows") - 1)).otherwise(0.0)
-    return ranked.select(*df.columns, share.alias(name))
+    return _beside(df, by, _places(df, by, descending), share, name)
 
 
 def with_position(df: DataFrame, order: list[Column], position: str, total: str) -> DataFrame:

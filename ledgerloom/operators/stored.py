@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import shared_folder
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path under the shared folder that nothing else uses."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/ledgerloom/{app}/{label}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet under the shared folder and return a scan of it."""
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/ledgerloom/{app}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import segments
 from ledgerloom.functions.scalars import as_of_date, calendar_days, divide_or_null
-from ledgerloom.operators.ranking import with_rank
+from ledgerloom.operators.ranking import with_ranks
 from ledgerloom.operators.stored import store
 
 
@@ -168,8 +168,8 @@ def with_sales_ranks(products: DataFrame) -> DataFrame:
     """Ranks by revenue and by units. Revenue ties at six digits: the noise of summing
     doubles depends on the order of the rows and must not decide a rank."""
     rounded = products.withColumn("_revenue", F.round("total_revenue", 6))
-    ranked = with_rank(rounded, "_revenue", "revenue_rank").drop("_revenue")
-    return with_rank(ranked, "total_quantity_sold", "quantity_rank")
+    ranks = {"revenue_rank": "_revenue", "quantity_rank": "total_quantity_sold"}
+    return with_ranks(rounded, ranks).drop("_revenue")
 
 
 def dim_products(lines: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:

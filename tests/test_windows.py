@@ -75,8 +75,12 @@ def test_split_needs_no_window_over_rows_of_a_whole_group(skewed):
 
 def test_ranks_match_windows(spark, skewed):
     down, up = Window.orderBy(F.col("v").desc()), Window.orderBy(F.col("v").asc())
-    got = ranking.with_percent_rank(ranking.with_rank(skewed, "v", "r"), "v", "p")
-    want = skewed.select("*", F.rank().over(down).cast("long").alias("r"), F.percent_rank().over(up).alias("p"))
+    got = ranking.with_percent_rank(ranking.with_ranks(skewed, {"r": "v", "r2": "t"}), "v", "p")
+    want = skewed.select(
+        "*", F.rank().over(down).cast("long").alias("r"),
+        F.rank().over(Window.orderBy(F.col("t").desc())).cast("long").alias("r2"),
+        F.percent_rank().over(up).alias("p"),
+    )
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 

@@ -74,13 +74,10 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The decision is carried to the rows by id and digest. Where rows repeat both, one of them stays.
     """
-    groups = exact_groups(docs, id_col, text_col, keep)
-    stays = groups.filter("kept").select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"))
-    again = (
-        groups.groupBy(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter("_rows > 1").select("_id", "_sha")
-    )
-    stays, again = store(stays, "stays"), store(again, "again")
+    groups = store(exact_groups(docs, id_col, text_col, keep).select(
+        F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "groups")
+    stays = groups.filter("kept").select("_id", "_sha")
+    again = store(groups.groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha"), "again")
     keyed = docs.withColumns({"_sha": F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)), "_id": F.col(id_col)})
 
     def same(other: DataFrame) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def bounded_sample(rows: DataFrame, group: str, per_group: int, key: list[str])
 
 def slices(batch: pa.RecordBatch, column: str, chars: int = PASS_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of each part hold about ``chars`` characters, one text at least."""
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     begin, held = 0, 0
     for i, n in enumerate(sizes):
         if held and held + (n or 0) > chars:

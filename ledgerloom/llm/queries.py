@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup
-from ledgerloom.llm.common import table
+from ledgerloom.llm import exact_dedup, langid, packing
+from ledgerloom.llm.common import fold, table
+
+#: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,3 +35,19 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; what crc32 of the id puts in fold 0 of 5 is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold(F.col("doc_id"), 5) == 0).alias("held_out"))
+    model = langid.fit(docs.filter("NOT held_out"), key=["doc_id"])
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, langid, packing
+from ledgerloom.llm import chat, exact_dedup, langid, packing
 from ledgerloom.llm.common import fold, table
 
 #: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
@@ -51,3 +51,39 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = r"\### Assistant: </turn> ok"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], rows.schema))
+    made = chat.format_conversations(rows)
+    turns = made.withColumn("turns", chat.read_back(F.col("formatted"))).withColumn("trained", F.array_join(chat.loss_texts(F.col("formatted"), F.col("loss")), ""))
+    return turns.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+SQL["op8_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), opened AS (
+    SELECT *, coalesce(lag(role) OVER in_order <> role, true) AS opens,
+           row_number() OVER in_order AS place
+    FROM turns WINDOW in_order AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (sum(length('<turn></turn>') + length(replace(replace(replace(text, '\', '\b'), '<', '\l'), '#', '\h')))
+        + sum(length('### ') + 1 + length(replace(replace(replace(role, '\', '\b'), '<', '\l'), '#', '\h'))) FILTER (WHERE opens)
+        + count(*) FILTER (WHERE opens) - 1)::BIGINT AS formatted_chars
+FROM opened GROUP BY conv_id
+"""

@@ -19,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def word_count(text: Column) -> Column:
+    """Words of a text; null has none."""
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """Remainder of crc32 of the id as text. A null id counts as the text ``null``."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % folds

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, langid, packing
-from ledgerloom.llm.common import fold, table
+from ledgerloom.llm import chat, exact_dedup, langid, mixing, packing
+from ledgerloom.llm.common import fold, table, word_count
 
 #: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -87,3 +87,13 @@ SELECT conv_id, count(*) AS n_turns,
         + count(*) FILTER (WHERE opens) - 1)::BIGINT AS formatted_chars
 FROM opened GROUP BY conv_id
 """
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed so that their sources weigh 1, 2, 3, repeating."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, word_count(F.col("text")), F.array("source"), carry=["doc_id"])
+    return mixed.select(
+        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        (F.col("_size") * F.col("_copies")).alias("taken"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, langid, mixing, packing
+from ledgerloom.llm import chat, exact_dedup, langid, mixing, packing, quality, toxicity
 from ledgerloom.llm.common import fold, table, word_count
 
 #: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
@@ -97,3 +97,26 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(
         "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
         (F.col("_size") * F.col("_copies")).alias("taken"))
+
+
+#: Labelled documents that a classifier learns from, of each class at most about so many.
+LABELLED_PER_CLASS = 5000
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of what crc32 of the id puts in fold 1 of 3 aren't learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(fold(F.col("doc_id"), 3) != 1)
+    model = toxicity.fit(toxicity.labelled_sample(docs, labels, "toxic", LABELLED_PER_CLASS))
+    held = docs.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
+    scored = toxicity.score(held, model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base limits and the trees' verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", LABELLED_PER_CLASS)
+    return quality.judge(docs, quality.fit(sample))

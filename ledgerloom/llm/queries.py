@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, langid, mixing, packing, quality, toxicity
+from ledgerloom.llm import chat, exact_dedup, langid, mixing, packing, quality, token_counts, toxicity
 from ledgerloom.llm.common import fold, table, word_count
 
 #: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+UNIGRAM_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -120,3 +121,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", LABELLED_PER_CLASS)
     return quality.judge(docs, quality.fit(sample))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, by the pieces and scores of a public vocabulary taken as a unigram model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_token_count(docs, UNIGRAM_PIECES).drop("text")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, langid, mixing, packing, quality, token_counts, toxicity
+from ledgerloom.llm import chat, exact_dedup, langid, mixing, near_dedup, packing, passages, quality, token_counts, toxicity
 from ledgerloom.llm.common import fold, table, word_count
 
 #: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
@@ -128,3 +128,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, by the pieces and scores of a public vocabulary taken as a unigram model."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.with_token_count(docs, UNIGRAM_PIECES).drop("text")
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates among all documents; the smallest id names a class."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("text_sha256")
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of fifty words or more that documents share, and the classes that they connect."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))

@@ -70,23 +70,24 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept.
+    """``docs`` with one row of each group of equal texts, all columns kept."""
+    return staying(docs, exact_groups(docs, id_col, text_col, keep), id_col, text_col)
 
-    The decision is carried to the rows by id and digest. Where rows repeat both, one of them stays.
-    """
-    groups = store(exact_groups(docs, id_col, text_col, keep).select(
-        F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "groups")
-    stays = groups.filter("kept").select("_id", "_sha")
-    again = store(groups.groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha"), "again")
-    keyed = docs.withColumns({"_sha": F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)), "_id": F.col(id_col)})
 
-    def same(other: DataFrame) -> Column:
-        return keyed["_id"].eqNullSafe(other["_id"]) & (keyed["_sha"] == other["_sha"])
+def staying(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (id, text_sha256, kept) keeps.
 
-    kept = keyed.join(stays, same(stays), "left_semi")
+    A decision reaches its row by id and digest. Where rows repeat both, one of them stays.
+    """
+    decided = store(decided.select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "decided")
+    stays = decided.filter("kept").select("_id", "_sha")
+    again = store(decided.groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha"), "again")
+    keyed = docs.withColumns({"_of_id": F.col(id_col), "_of_sha": F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))})
+    same = F.col("_of_id").eqNullSafe(F.col("_id")) & (F.col("_of_sha") == F.col("_sha"))
+    kept = keyed.join(stays, same, "left_semi")
     if again.isEmpty():
         return kept.select(*docs.columns)
-    once = kept.join(again, kept["_id"].eqNullSafe(again["_id"]) & (kept["_sha"] == again["_sha"]), "left_anti")
-    many = kept.join(again, kept["_id"].eqNullSafe(again["_id"]) & (kept["_sha"] == again["_sha"]), "left_semi")
-    one = many.groupBy("_id", "_sha").agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")).select("_row.*")
-    return once.select(*docs.columns).unionByName(one)
+    once = kept.join(again, same, "left_anti").select(*docs.columns)
+    row = F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")
+    one = kept.join(again, same, "left_semi").groupBy("_of_id", "_of_sha").agg(row).select("_row.*")
+    return once.unionByName(one)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import slices, texts_of
 from ledgerloom.llm.components import components
+from ledgerloom.llm.exact_dedup import staying
 from ledgerloom.llm.word_hashes import GOLDEN, cells, mix, shingles, word_hashes
 from ledgerloom.operators.stored import store
 
@@ -179,6 +180,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each class of near duplicates, all columns kept."""
+    return staying(docs, near_groups(docs, id_col, text_col, least), id_col, text_col)
+
+
 def near_links(docs: DataFrame, nodes: DataFrame, repeated: bool, id_col: str, text_col: str, least: float) -> DataFrame:
     """Verified links (a, b) that connect every class."""
     banded = nodes.select("node", F.explode("bands").alias("key"))

@@ -46,12 +46,15 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def piece_digests(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
-    pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return piece_digests(packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER))
 
 
 @query

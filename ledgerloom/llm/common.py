@@ -19,6 +19,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def plain(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ..., so that no name of theirs meets one of an operator's.
+
+    ``toDF(*docs.columns)`` gives them back.
+    """
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
+def named(column: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

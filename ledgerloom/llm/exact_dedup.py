@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import plain
 from ledgerloom.operators.stored import store
 
 #: What must agree for two texts to count as equal.
@@ -82,12 +83,14 @@ def staying(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_co
     decided = store(decided.select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "decided")
     stays = decided.filter("kept").select("_id", "_sha")
     again = store(decided.groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha"), "again")
-    keyed = docs.withColumns({"_of_id": F.col(id_col), "_of_sha": F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))})
+    names, held = docs.columns, plain(docs)
+    id_of, text_of = F.col(held.columns[names.index(id_col)]), F.col(held.columns[names.index(text_col)])
+    keyed = held.withColumns({"_of_id": id_of, "_of_sha": F.unhex(F.sha2(F.coalesce(text_of, F.lit("")), 256))})
     same = F.col("_of_id").eqNullSafe(F.col("_id")) & (F.col("_of_sha") == F.col("_sha"))
     kept = keyed.join(stays, same, "left_semi")
     if again.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(again, same, "left_anti").select(*docs.columns)
-    row = F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("_row")
+        return kept.select(*held.columns).toDF(*names)
+    once = kept.join(again, same, "left_anti").select(*held.columns)
+    row = F.first(F.struct(*held.columns)).alias("_row")
     one = kept.join(again, same, "left_semi").groupBy("_of_id", "_of_sha").agg(row).select("_row.*")
-    return once.unionByName(one)
+    return once.unionByName(one).toDF(*names)

@@ -17,10 +17,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_sample, slices, texts_of
+from ledgerloom.llm.common import bounded_sample, named, plain, slices, texts_of
 from ledgerloom.llm.ngrams import codes
 
 ORDERS, BITS, SMOOTHING = (1, 2, 3), 16, 0.5
@@ -87,18 +87,18 @@ def totals(texts: list[str], matrix: np.ndarray) -> np.ndarray:
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, the posterior probability of that language."""
+    """``docs`` with ``lang_pred`` and ``score``, the posterior probability of that language; these two replace
+    columns of their names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
-    keep = [f.name for f in fields]
-    place = keep.index(text_col)
-    schema = docs.select(*keep).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    rows = docs.select(*map(named, keep))
+    schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            for part in slices(batch, keep[place]):
-                texts = texts_of(part, keep[place])
+            for part in slices(batch, text_col):
+                texts = texts_of(part, text_col)
                 lettered = np.array([bool(LETTER.search(t)) for t in texts]) & bool(m.languages)
                 langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
                 at = np.flatnonzero(lettered)
@@ -110,17 +110,11 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                         langs[i] = m.languages[k]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep).mapInArrow(predict, schema)
+    return rows.mapInArrow(predict, schema)
 
 
 def reject(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language can't be told: ``und``, or a score below ``least``."""
-    names = docs.columns
-    held = docs.withColumnsRenamed({n: f"_{k}_{n}" for k, n in enumerate(names)})
-    kept = identify(held, model, f"_{names.index(text_col)}_{text_col}").filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least))
-    return kept.select(*[F.col(f"_{k}_{n}").alias(n) for k, n in enumerate(names)])
-
-
-def learnable(docs: DataFrame, held_out: Column) -> DataFrame:
-    """The rows that a model may learn from."""
-    return docs.filter(~held_out)
+    """``docs`` without the rows whose language can't be told: ``und``, or a score below ``least``. All columns stay."""
+    held = plain(docs)
+    told = identify(held, model, held.columns[docs.columns.index(text_col)])
+    return told.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*held.columns).toDF(*docs.columns)

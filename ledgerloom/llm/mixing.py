@@ -20,6 +20,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import named
 from ledgerloom.operators.stored import store
 
 #: Ranges of the seeded hash at each of two levels.
@@ -135,20 +136,30 @@ def _least_cost(capacity: dict, member: dict, quota: dict, most: int) -> dict:
 
 def mix(docs: DataFrame, size: Column, sources: Column, carry: list[str], weights: tuple[float, ...] = (1, 2, 3),
         total_share: float = 1.0, most: int = 3, seed: int = 7, id_col: str = "doc_id") -> DataFrame:
-    """The columns ``carry`` of each row, with _sources, _size, _source_size, _target and _copies (0 to ``most``).
+    """The columns ``carry`` of each row, with sources, size, source_size, target and copies (0 to ``most``).
 
     ``sources`` is an array of text; a null in it, a null array and an empty one all mean the source null, which
     comes last in order. Sources in code point order weigh ``weights``, repeated as often as needed, and share
-    ``total_share`` of all sizes; no target is above ``most`` times its source's size. ``_source_size`` and
-    ``_target`` are those of the first of a row's sources. Rows that repeat an id are documents of their own. A row
+    ``total_share`` of all sizes; no target is above ``most`` times its source's size. ``source_size`` and
+    ``target`` are those of the first of a row's sources. A carried column may have any name; one named like a result
+    stands before it, and both are there. Rows that repeat an id are documents of their own. A row
     of size 0 is taken as often as its pattern is whole. An empty table gives an empty result.
     """
+    taken, held = _mix(docs, size, sources, carry, weights, total_share, most, seed, id_col)
+    results = ("sources", "size", "source_size", "target", "copies")
+    return taken.select(*held, *[f"_{c}" for c in results]).toDF(*carry, *results)
+
+
+def _mix(docs: DataFrame, size: Column, sources: Column, carry: list[str], weights: tuple[float, ...], total_share: float,
+         most: int, seed: int, id_col: str) -> tuple[DataFrame, list[str]]:
+    """What ``mix`` gives, the carried columns under the names that come with it."""
     spark = docs.sparkSession
-    named = F.coalesce(sources, F.array(F.lit(None).cast("string")))
-    named = F.when(F.size(named) == 0, F.array(F.lit(None).cast("string"))).otherwise(F.sort_array(F.array_distinct(named)))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))), 8)
+    held = [f"c{k}" for k in range(len(carry))]
+    of = F.coalesce(sources, F.array(F.lit(None).cast("string")))
+    of = F.when(F.size(of) == 0, F.array(F.lit(None).cast("string"))).otherwise(F.sort_array(F.array_distinct(of)))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(named(id_col).cast("string"), F.lit("null"))), 8)
     rows = store(docs.select(
-        *[F.col(c) for c in carry], named.alias("_sources"), size.cast("long").alias("_size"), draw.alias("_draw"),
+        *[named(c).alias(h) for c, h in zip(carry, held, strict=True)], of.alias("_sources"), size.cast("long").alias("_size"), draw.alias("_draw"),
         F.monotonically_increasing_id().alias("_row")), "to-mix")
 
     sums = rows.groupBy("_sources").agg(F.sum("_size").alias("n")).collect()
@@ -219,11 +230,13 @@ def mix(docs: DataFrame, size: Column, sources: Column, carry: list[str], weight
     once_more = in_prefix | F.col("_row").isin(picked) if picked else in_prefix
     wanted = F.broadcast(spark.createDataFrame([(s, source_size[s], float(target[s])) for s in order], "_first string, _source_size long, _target double"))
     copies = F.col("whole") + F.when(once_more & (F.col("whole") < most), 1).otherwise(0)
-    return result.withColumn("_first", F.element_at("_sources", 1)).join(wanted.withColumnRenamed("_first", "_of"), F.col("_first").eqNullSafe(F.col("_of"))).select(
-        *[F.col(c) for c in carry], "_sources", "_size", "_source_size", "_target", copies.cast("long").alias("_copies"))
+    mixed = result.withColumns({"_first": F.element_at("_sources", 1), "_copies": copies.cast("long")})
+    return mixed.join(wanted.withColumnRenamed("_first", "_of"), F.col("_first").eqNullSafe(F.col("_of"))), held
 
 
-def mixed_rows(docs: DataFrame, size: Column, sources: Column, id_col: str = "doc_id", **settings) -> DataFrame:
+def mixed_rows(docs: DataFrame, size: Column, sources: Column, weights: tuple[float, ...] = (1, 2, 3),
+               total_share: float = 1.0, most: int = 3, seed: int = 7, id_col: str = "doc_id") -> DataFrame:
     """``docs`` as the mix takes them: each row as many times as it has copies, all columns kept."""
-    taken = mix(docs, size, sources, carry=docs.columns, id_col=id_col, **settings).filter("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    taken, held = _mix(docs, size, sources, docs.columns, weights, total_share, most, seed, id_col)
+    again = taken.filter("_copies > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
+    return again.select(*held).toDF(*docs.columns)

@@ -98,9 +98,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed so that their sources weigh 1, 2, 3, repeating."""
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.mix(docs, word_count(F.col("text")), F.array("source"), carry=["doc_id"])
-    return mixed.select(
-        "doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-        (F.col("_size") * F.col("_copies")).alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 #: Labelled documents that a classifier learns from, of each class at most about so many.

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices, texts_of
+from ledgerloom.llm.common import named, slices, texts_of
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -129,16 +129,17 @@ def with_token_count(docs: DataFrame, vocabulary: str, text_col: str = "text", o
                      byte_fallback: bool = True) -> DataFrame:
     """``docs`` with the number of tokens of each text; a null or empty text has none.
 
-    Every row is counted by its text alone, so repeated rows agree. Other columns are passed on.
+    Every row is counted by its text alone, so repeated rows agree. Other columns are
+    passed on; one named ``out`` is replaced.
     """
     names = [c for c in docs.columns if c != out]
-    place = names.index(text_col)
-    schema = docs.select(*names).withColumn(out, F.lit(0).cast("long")).schema
+    rows = docs.select(*map(named, names))
+    schema = rows.withColumn(out, F.lit(0).cast("long")).schema
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = UnigramCounts.of(vocabulary, byte_fallback)
         for batch in batches:
-            for part in slices(batch, names[place], 1 << 22):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(counter.counts(texts_of(part, names[place])), pa.int64())], names=[*names, out])
+            for part in slices(batch, text_col, 1 << 22):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(counter.counts(texts_of(part, text_col)), pa.int64())], names=[*names, out])
 
-    return docs.select(*names).mapInArrow(count, schema)
+    return rows.mapInArrow(count, schema)

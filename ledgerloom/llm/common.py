@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -75,3 +75,25 @@ def slices(batch: pa.RecordBatch, column: str, chars: int = PASS_CHARS) -> Itera
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def map_texts(docs: DataFrame, text_col: str, added: dict[str, str], of_texts: Callable[[list[str]], list],
+              chars: int = PASS_CHARS) -> DataFrame:
+    """``docs`` with the columns ``added`` (name to type), which replace columns of their names.
+
+    ``of_texts`` gives an array for each of them from texts of some ``chars`` characters, null texts as empty ones.
+    """
+    names = [c for c in docs.columns if c not in added]
+    held = plain(docs.select(*map(named, names)))
+    text = held.columns[names.index(text_col)]
+    new = [f"n{k}" for k in range(len(added))]
+    out = [*held.columns, *new]
+    schema = held.withColumns({n: F.lit(None).cast(kind) for n, kind in zip(new, added.values(), strict=True)}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text, chars):
+                found = of_texts(texts_of(part, text))
+                yield pa.RecordBatch.from_arrays([*part.columns, *map(pa.array, found)], names=out)
+
+    return held.mapInArrow(run, schema).toDF(*names, *added)

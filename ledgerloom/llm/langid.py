@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_sample, named, plain, slices, texts_of
+from ledgerloom.llm.common import bounded_sample, map_texts, plain, slices, texts_of
 from ledgerloom.llm.ngrams import codes
 
 ORDERS, BITS, SMOOTHING = (1, 2, 3), 16, 0.5
@@ -90,27 +90,19 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     """``docs`` with ``lang_pred`` and ``score``, the posterior probability of that language; these two replace
     columns of their names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    rows = docs.select(*map(named, keep))
-    schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def predict(texts: list[str]) -> list:
         m = shared.value
-        for batch in batches:
-            for part in slices(batch, text_col):
-                texts = texts_of(part, text_col)
-                lettered = np.array([bool(LETTER.search(t)) for t in texts]) & bool(m.languages)
-                langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-                at = np.flatnonzero(lettered)
-                if len(at):
-                    joint = totals([texts[i] for i in at], m.log_p) + m.prior
-                    best = joint.argmax(1)
-                    scores[at] = 1 / np.exp(joint - joint.max(1, keepdims=True)).sum(1)
-                    for i, k in zip(at, best, strict=True):
-                        langs[i] = m.languages[k]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores)], names=[*keep, "lang_pred", "score"])
-
-    return rows.mapInArrow(predict, schema)
+        langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+        at = [i for i, t in enumerate(texts) if LETTER.search(t)] if m.languages else []
+        if at:
+            joint = totals([texts[i] for i in at], m.log_p) + m.prior
+            scores[at] = 1 / np.exp(joint - joint.max(1, keepdims=True)).sum(1)
+            for i, k in zip(at, joint.argmax(1), strict=True):
+                langs[i] = m.languages[k]
+        return [langs, scores]
+
+    return map_texts(docs, text_col, {"lang_pred": "string", "score": "double"}, predict)
 
 
 def reject(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:

@@ -76,7 +76,7 @@ def dart_signatures(cell: np.ndarray, bounds: np.ndarray, k: int, darts: int = 1
                 if not live.any():
                     break
                 key, owner, most = keys[live], own[live], limits[live]
-                seed = mix(key + np.uint64(level + 1) * GOLDEN)
+                seed = mix(key + np.array([level + 1], np.uint64) * GOLDEN)
                 times = np.searchsorted(poisson_steps(high - low), (seed >> np.uint64(11)) * 2.0 ** -53, side="right")
                 ends = np.cumsum(times)
                 number = np.arange(ends[-1]) - np.repeat(ends - times, times)

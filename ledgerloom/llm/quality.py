@@ -8,15 +8,13 @@ repeated lines never raise a score: those features are constrained.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import named, slices, texts_of
+from ledgerloom.llm.common import map_texts
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_letters", "n_digits", "n_marks", "n_distinct", "most_of_a_word")
@@ -166,20 +164,13 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
     return Trees(np.array(roots), *(np.array(c) for c in (feature, threshold, left, right, value)), base)
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the counts of each text, null text has none; they replace columns of their names."""
-    added = COUNTS + EXTRA
-    names = [c for c in docs.columns if c not in added]
-    rows = docs.select(*map(named, names))
-    schema = rows.withColumns({c: F.lit(0).cast("long") for c in added}).schema
+def measured(texts: list[str]) -> np.ndarray:
+    return np.array([statistics(t) for t in texts], dtype=np.int64).reshape(-1, len(COUNTS + EXTRA))
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text_col):
-                found = np.array([statistics(t) for t in texts_of(part, text_col)], dtype=np.int64).reshape(-1, len(added))
-                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(np.ascontiguousarray(c)) for c in found.T)], names=[*names, *added])
 
-    return rows.mapInArrow(measure, schema)
+def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with the counts of each text, null text has none; they replace columns of their names."""
+    return map_texts(docs, text_col, dict.fromkeys(COUNTS + EXTRA, "long"), lambda texts: list(np.ascontiguousarray(measured(texts).T)))
 
 
 def fit(sample: DataFrame) -> Trees | None:
@@ -193,25 +184,18 @@ def fit(sample: DataFrame) -> Trees | None:
 
 
 def judge(docs: DataFrame, trees: Trees | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with COUNTS, ``quality`` (0 to 1), ``base_failed`` and ``kept``.
+    """``docs`` with COUNTS, ``quality`` (0 to 1), ``base_failed`` and ``kept``, which replace columns of their names.
 
     A text with fewer than ten words, or of whose words more than a fifth stand in repeated windows, fails at once;
     any other is kept from a score of ``KEEP_FROM`` on, or always where there are no trees. Null and empty texts fail.
-    The text itself isn't passed on; the other columns are, but for those named like a result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees)
-    measured = with_statistics(docs, text_col)
-    names = [c for c in measured.columns if c != "quality"]
-    at = [names.index(c) for c in COUNTS + EXTRA]
-    bare = [c for c in names if c != text_col]
-    schema = measured.select(*map(named, bare)).withColumn("quality", F.lit(0.0)).schema
-
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s = np.stack([batch.column(names[k]).to_numpy(zero_copy_only=False) for k in at], axis=1).reshape(-1, len(at))
-            scores = np.ones(len(s)) if shared.value is None else 1 / (1 + np.exp(-shared.value.margin(features_of(s))))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in bare), pa.array(scores)], names=[*bare, "quality"])
-
-    rated = measured.select(*map(named, bare)).mapInArrow(rate, schema)
+
+    def rate(texts: list[str]) -> list:
+        found = measured(texts)
+        scores = np.ones(len(texts)) if shared.value is None else 1 / (1 + np.exp(-shared.value.margin(features_of(found))))
+        return [*np.ascontiguousarray(found[:, :len(COUNTS)].T), scores]
+
+    rated = map_texts(docs, text_col, dict.fromkeys(COUNTS, "long") | {"quality": "double"}, rate)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return rated.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM)).drop(*EXTRA)
+    return rated.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM))

@@ -121,7 +121,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base limits and the trees' verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", LABELLED_PER_CLASS)
-    return quality.judge(docs, quality.fit(sample))
+    return quality.judge(docs, quality.fit(sample)).drop("text")
 
 
 @query

@@ -12,16 +12,13 @@ each distinct one counted once and remembered up to a bound.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import named, slices, texts_of
+from ledgerloom.llm.common import map_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -132,14 +129,4 @@ def with_token_count(docs: DataFrame, vocabulary: str, text_col: str = "text", o
     Every row is counted by its text alone, so repeated rows agree. Other columns are
     passed on; one named ``out`` is replaced.
     """
-    names = [c for c in docs.columns if c != out]
-    rows = docs.select(*map(named, names))
-    schema = rows.withColumn(out, F.lit(0).cast("long")).schema
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = UnigramCounts.of(vocabulary, byte_fallback)
-        for batch in batches:
-            for part in slices(batch, text_col, 1 << 22):
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(counter.counts(texts_of(part, text_col)), pa.int64())], names=[*names, out])
-
-    return rows.mapInArrow(count, schema)
+    return map_texts(docs, text_col, {out: "long"}, lambda texts: [UnigramCounts.of(vocabulary, byte_fallback).counts(texts)], 1 << 22)

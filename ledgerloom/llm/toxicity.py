@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_sample, named, slices, texts_of
+from ledgerloom.llm.common import bounded_sample, map_texts, slices, texts_of
 from ledgerloom.llm.ngrams import codes
 
 ORDERS, BITS, FEATURES = (3, 4, 5), 20, 20_000
@@ -163,18 +163,14 @@ def regress(index: np.ndarray, lengths: np.ndarray, y: np.ndarray, scale: np.nda
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score``, 0 to 1, which replaces a column of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c != "score"]
-    rows = docs.select(*map(named, names))
-    schema = rows.withColumn("score", F.lit(0.0)).schema
+    kept = docs.sparkSession.sparkContext.broadcast(model.weight != 0)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(texts: list[str]) -> list:
         m = shared.value
-        kept = m.weight != 0
-        for batch in batches:
-            for part in slices(batch, text_col):
-                owner, bucket = present(texts_of(part, text_col), kept)
-                total = np.bincount(owner, weights=m.weight[bucket], minlength=part.num_rows) + m.intercept
-                scores = 1 / (1 + np.exp(-np.clip(total, -50, 50))) if m.learned else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], names=[*names, "score"])
+        if not m.learned:
+            return [np.zeros(len(texts))]
+        owner, bucket = present(texts, kept.value)
+        total = np.bincount(owner, weights=m.weight[bucket], minlength=len(texts)) + m.intercept
+        return [1 / (1 + np.exp(-np.clip(total, -50, 50)))]
 
-    return rows.mapInArrow(judge, schema)
+    return map_texts(docs, text_col, {"score": "double"}, judge)

@@ -1,0 +1,126 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest import WORDS, prose
+from tokenizers import Tokenizer
+
+from ledgerloom.llm import packing
+from ledgerloom.llm.word_tokens import WordTokens
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def pieces_of(entries, histogram):
+    """Every rank's pieces, by hand."""
+    out = defaultdict(list)
+    for e in entries:
+        for k in range(e.low, e.high):
+            slot = e.first + k - e.low
+            out[e.length, k].append((e.start, e.size, e.sequence + slot // e.per, e.offset + slot % e.per * e.size))
+    assert set(out) == {(length, k) for length, n in histogram.items() for k in range(n)}
+    return out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_plan_places_every_token_once_without_gaps(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([8, 64, 100, 2048])
+    histogram = {rng.randrange(1, capacity): rng.choice([1, 2, 3, 50, 700]) for _ in range(rng.randrange(1, 40))}
+    entries, sequences = packing.plan(histogram, capacity)
+    filled = defaultdict(list)
+    for (length, _), own in pieces_of(entries, histogram).items():
+        own.sort()
+        assert own[0][0] == 0 and all(a[0] + a[1] == b[0] for a, b in zip(own, own[1:], strict=False)) and own[-1][0] + own[-1][1] == length
+        for _, size, sequence, offset in own:
+            filled[sequence].append((offset, size))
+    assert set(filled) == set(range(sequences))
+    for own in filled.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False))
+        total = own[-1][0] + own[-1][1]
+        assert total == capacity or total & (total - 1) == 0
+    padded = sum(capacity - sum(n for _, n in own) for own in filled.values() if sum(n for _, n in own) != capacity)
+    assert padded <= 11 * capacity
+
+
+def test_fullest_is_the_best_subset():
+    rng = random.Random(3)
+    for _ in range(200):
+        counts = {rng.randrange(1, 30): rng.randrange(1, 4) for _ in range(rng.randrange(1, 6))}
+        chosen = packing.fullest(counts, 40)
+        assert all(m <= counts[x] for x, m in chosen.items()) and chosen[max(counts)] >= 1
+        sums = {max(counts)}
+        for x, n in counts.items():
+            sums = {s + x * m for s in sums for m in range(n + 1 - (x == max(counts)))}
+        assert sum(x * m for x, m in chosen.items()) == max(s for s in sums if s <= 40)
+
+
+def test_word_tokens_equal_the_tokenizer():
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [
+        "", " ", "Hello, World!  it's don't I'M we'LL 12,5 a\tb\r\nc d", "ÀÉ naïve ñandú Straße İstanbul ΣΑΣ", "é ́x   日本語 😀",
+        "<|endoftext|> a<|startoftext|>b", "... ,,; a. b.. c?! --- ***", prose(1, 500), "x" * 5000, "".join(map(chr, range(1, 0x250))), "Ab\n\ncd\n ef",
+    ]
+    rng = random.Random(5)
+    texts += [" ".join("".join(rng.choice("aZéß.,'’-1½ªº×‍") for _ in range(rng.randrange(1, 9))) for _ in range(60)) for _ in range(30)]
+    words = WordTokens(PATH)
+    for chosen in (texts, texts[::-1]):
+        got = [np.frombuffer(x, "<u2").tolist() for x in words.encode(chosen, 1)]
+        assert got == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in chosen]
+
+
+def test_a_full_cache_starts_anew(monkeypatch):
+    import ledgerloom.llm.word_tokens as module
+
+    monkeypatch.setattr(module, "CACHED_WORDS", 20)
+    words, fresh = WordTokens(PATH), WordTokens(PATH)
+    for k in range(5):
+        text = " ".join(WORDS[10 * k:10 * k + 15])
+        monkeypatch.setattr(module, "CACHED_WORDS", 20)
+        got = words.encode([text, text])
+        monkeypatch.setattr(module, "CACHED_WORDS", 10 ** 6)
+        assert got == fresh.encode([text, text])
+
+
+def check(rows, texts, capacity=2048):
+    tokenizer = Tokenizer.from_file(PATH)
+    by = defaultdict(list)
+    filled = defaultdict(list)
+    for r in rows:
+        by[r.doc_id].append(r)
+        filled[r.sequence_id].append((r.offset, r.length))
+    got = sorted(b"".join(r.ids for r in sorted(own, key=lambda r: r.start)) for own in by.values())
+    want = sorted(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes() for t in texts)
+    assert got == want
+    for own in filled.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:], strict=False))
+        assert own[-1][0] + own[-1][1] <= capacity
+    return [sum(n for _, n in own) for own in filled.values()]
+
+
+def test_documents_come_back_whole(docs):
+    rng = random.Random(2)
+    texts = [prose(i, rng.choice([0, 1, 5, 40, 200, 300, 300, 1500])) for i in range(160)] + [None, ""]
+    rows = packing.pack(docs(*enumerate(texts)).repartition(6), PATH).collect()
+    sums = check(rows, texts)
+    assert all(n == 2048 or n & (n - 1) == 0 for n in sums)
+    assert all(zlib.crc32(r.ids) >= 0 and len(r.ids) == 4 * r.length and r.doc_tokens >= r.start + r.length for r in rows)
+
+
+def test_with_a_shuffle_join(docs, monkeypatch):
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    texts = [prose(i, 30) for i in range(50)]
+    check(packing.pack(docs(*enumerate(texts)).repartition(4), PATH, capacity=128).collect(), texts, 128)
+
+
+def test_odd_rows(odd):
+    rows = packing.pack(odd, PATH).collect()
+    total = sum(r.length for r in rows)
+    tokenizer = Tokenizer.from_file(PATH)
+    assert total == sum(len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in odd.collect())
+    assert packing.pack(odd.limit(0), PATH).collect() == []

@@ -12,6 +12,7 @@ from collections import Counter
 from pyspark.sql import SparkSession
 
 from ledgerloom.plans.build import build
+from ledgerloom.plans.dates import FIRST_DAY, LAST_DAY
 from ledgerloom.session import build_session
 from ledgerloom.sources.files import read_jsonl
 from ledgerloom.sources.tables import Source, ensure_database, export_database, save_table
@@ -20,13 +21,14 @@ from ledgerloom.sources.tables import Source, ensure_database, export_database,
 def run(
     spark: SparkSession, raw: str, database: str, as_of: str | None = None,
     buckets: int | None = None, export: str | None = None, views: bool = False,
+    first_day: str = FIRST_DAY, last_day: str = LAST_DAY,
 ) -> dict:
     """The whole chain in one session; says what was loaded, checked and exported."""
     source = Source("orders", schema=f"{database}_raw")
     ensure_database(spark, source.schema)
     loaded = save_table(read_jsonl(spark, raw), source.name())
     print(f"Loaded {loaded} rows into {source.name()}.")
-    models = build(spark, source.read(spark), database, as_of, buckets, views)
+    models = build(spark, source.read(spark), database, as_of, buckets, views, (first_day, last_day))
     report = models.check().collect()  # one row per declared check
     for row in sorted(report, key=lambda r: (r.status, r.check_name)):
         if row.status != "pass":
@@ -44,6 +46,8 @@ def main() -> None:
     parser.add_argument("--as-of", help="reporting date, today by default")
     parser.add_argument("--buckets", type=int, help="store order-grained tables hashed into so many buckets")
     parser.add_argument("--views", action="store_true", help="publish staged models as views")
+    parser.add_argument("--first-day", default=FIRST_DAY, help="calendar begins here, or earlier if an order does")
+    parser.add_argument("--last-day", default=LAST_DAY, help="calendar ends here, or later if an order does")
     parser.add_argument("--export", help="folder for CSV copies of the marts")
     args = parser.parse_args()
     done = run(build_session(), **{k: v for k, v in vars(args).items()})

@@ -1,6 +1,7 @@
-"""Small lookup tables of the registered queries.
+"""Small lookup tables of the registered queries, as text, one table each.
 
-Fixed values: all rows here, as text, one table each.
+Own test data, made for these queries: rows of every kind that the joins tell apart. One
+order source of the feed has no row, so that the default for others is met.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ ROWS = {
     "order_source_mapping": [
         ("TikTok", "TikTok Shop", "Social"),
         ("web", "Website", "Direct"),
-        ("draft", "Manual Order", "Internal"),
+        ("phone", "Phone Order", "Assisted"),
     ],
     "discount_code_mapping": [
         ("Platform & Seller", "Platform Discount", "TikTok", True),

@@ -290,6 +290,10 @@ STEPS["days"] = """
 SELECT unnest(generate_series(min(order_created_at)::DATE, max(order_created_at)::DATE,
   INTERVAL 1 DAY))::DATE AS date_day FROM so"""
 
+STEPS["calendar"] = """
+SELECT unnest(generate_series(least(DATE '2020-01-01', min(order_created_at)::DATE),
+  greatest(DATE '2030-12-31', max(order_created_at)::DATE), INTERVAL 1 DAY))::DATE AS date_day FROM so"""
+
 # the models' names in the declared checks
 MODEL_STEPS = {
     "raw_orders": "raw_orders", "stg_orders": "so", "stg_line_items": "sl", "stg_fulfillments": "ss",
@@ -460,7 +464,8 @@ SELECTS: dict[str, tuple[str, str]] = {
         "raw_orders GROUP BY id HAVING count(*) > 1 ORDER BY count(*) DESC, id LIMIT 20"),
     "sync_history": (
         "order_id=id times_synced=count(*) first_sync=min(_daton_batch_runtime::BIGINT) "
-        "last_sync=max(_daton_batch_runtime::BIGINT)", "raw_orders GROUP BY id HAVING count(*) > 1"),
+        "last_sync=max(_daton_batch_runtime::BIGINT)",
+        "raw_orders GROUP BY id HAVING count(*) > 1 ORDER BY count(*) DESC, id LIMIT 10"),
     "duplicate_rows": (
         "order_id synced_at:t payment_status",
         "typed WHERE order_id IN (SELECT order_id FROM typed GROUP BY order_id HAVING count(*) > 1)"),
@@ -580,12 +585,11 @@ SELECTS: dict[str, tuple[str, str]] = {
         "day_short=strftime(date_day,'%a') year_month=strftime(date_day,'%Y-%m') "
         "year_quarter=year(date_day)||'-Q'||quarter(date_day) "
         "fiscal_year:i=year(date_day-INTERVAL'31'DAY) is_weekend=dayofweek(date_day)%6=0 "
-        "is_holiday=strftime(date_day,'%m%d')IN('0101','0704','1225') " + DATE_FLAGS, "days"),
+        "is_holiday=strftime(date_day,'%m%d')IN('0101','0704','1225') " + DATE_FLAGS, "calendar"),
     "date_spine": ("date_day:d", "days"),
     "zero_fill_months": (
         "year_month month_name revenue:f=ifnull(sum(total_amount),0)",
-        "(SELECT strftime(d, '%Y-%m') AS year_month, monthname(d) AS month_name, d::DATE AS d FROM (SELECT "
-        "unnest(generate_series(min(order_date), max(order_date) + INTERVAL 3 MONTH, INTERVAL 1 DAY)) AS d FROM fo)) "
+        "(SELECT strftime(date_day, '%Y-%m') AS year_month, monthname(date_day) AS month_name, date_day AS d FROM calendar) "
         "LEFT JOIN fo ON order_date = d GROUP BY ALL"),
     "sum_by_month": ("order_month:i revenue:f=sum(total_amount)", "fo GROUP BY order_month"),
     "daily_source_mix": (
@@ -606,7 +610,7 @@ SELECTS: dict[str, tuple[str, str]] = {
     "orders_scd2": (
         "order_id payment_status fulfillment_status cancellation_reason total_amount:f valid_from:t "
         "valid_to:t is_current", "order_changes"),
-    "surrogate_keys": ("order_id line_item_id line_key=sha256(order_id||'|'||line_item_id)", "sl"),
+    "surrogate_keys": ("order_id line_item_id line_key=sha256(length(order_id)||':'||order_id||length(line_item_id)||':'||line_item_id)", "sl"),
     "check_unique": ("customer_id n_rows=count(*)", "fo GROUP BY customer_id HAVING count(*) > 1"),
     "check_not_null": ("order_id", "so WHERE customer_id IS NULL"),
     "check_not_null_where": ("order_id", "fo WHERE NOT is_canceled AND customer_id IS NULL"),

@@ -303,7 +303,7 @@ def duplicate_report(m):
 
 @query
 def sync_history(m):
-    return dedup.sync_history(m.raw)
+    return dedup.sync_history(m.raw, top=10)
 
 
 @query
@@ -559,8 +559,7 @@ def first_last_order_attrs(m):
 
 @query
 def zero_fill_months(m):
-    calendar = dates.dim_dates(dates.spine_over(m.stg_orders, "order_created_at", months_after=3), m.as_of)
-    return dates.revenue_per_month(calendar, m.fct_orders)
+    return dates.revenue_per_month(m.dim_dates, m.fct_orders)
 
 
 @query
@@ -650,7 +649,7 @@ def dim_products(m):
 
 @query
 def dim_dates(m):
-    return dates.dim_dates(dates.spine_over(m.stg_orders, "order_created_at"), m.as_of)
+    return m.dim_dates
 
 
 @query

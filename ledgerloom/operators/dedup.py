@@ -71,9 +71,9 @@ def rows_of_duplicates(df: DataFrame, key: str) -> DataFrame:
     return df.join(duplicate_counts(df, key), key, "left_semi")
 
 
-def sync_history(raw: DataFrame) -> DataFrame:
-    """How often and when each re-delivered order was synced."""
-    return (
+def sync_history(raw: DataFrame, top: int | None = None) -> DataFrame:
+    """How often and when each re-delivered order was synced, most often first; ``top`` limits it to so many."""
+    history = (
         raw.groupBy(F.col("id").alias("order_id"))
         .agg(
             F.count("*").alias("times_synced"),
@@ -82,3 +82,5 @@ def sync_history(raw: DataFrame) -> DataFrame:
         )
         .where("times_synced > 1")
     )
+    ordered = history.orderBy(F.col("times_synced").desc(), F.col("order_id").asc())
+    return ordered if top is None else ordered.limit(top)

@@ -40,6 +40,10 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) ->
     return kept.where((facts["n"] == 0) | passes)
 
 
+# Texts are cut into pieces of at most this length; it bounds the pieces of a text to this times its length.
+ANCHOR = 4
+
+
 def _pieces(text: Column, n: int) -> Column:
     """All substrings of length ``n``."""
     starts = F.sequence(F.lit(1), F.length(text) - n + 1)
@@ -47,37 +51,31 @@ def _pieces(text: Column, n: int) -> Column:
     return F.when(F.length(text) >= n, pieces).otherwise(F.array().cast("array<string>"))
 
 
+def _anchor(word: Column) -> Column:
+    """The beginning of the longest stretch of a LIKE pattern without wildcard or escape."""
+    literal = F.split(word, r"\\.|[%_]")
+    longest = F.reduce(literal, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
+    return F.substring(longest, 1, ANCHOR)
+
+
 def contains_keyword(df: DataFrame, text: str, lookup: DataFrame, keyword: str) -> DataFrame:
     """LEFT join where the text contains the keyword, whatever the case.
 
     A text with several keywords gives a row for each; one with none keeps a row of
-    nulls. Every distinct text is cut into its substrings of the keyword lengths, which
-    turns the containment into an equality join: no pair is compared in vain. In LIKE,
-    ``%`` and ``_`` in a keyword are wildcards; such keywords must be few and are
-    matched as patterns.
+    nulls. In LIKE, ``%`` and ``_`` in a keyword are wildcards. Each keyword has an
+    anchor, up to ``ANCHOR`` characters that a text must hold literally; every distinct
+    text is cut into pieces as long as anchors are, which makes the candidates an equality
+    join, and LIKE decides among those alone. A keyword of nothing but wildcards fits
+    nearly every text, and is met by each.
     """
-    words = lookup.withColumn("_word", F.lower(F.col(keyword)))
-    wild = F.col("_word").rlike(r"[%_\\]")
-    exact = words.where(~wild)
-    # as many numbers as there are different keyword lengths
-    lengths = [r[0] for r in exact.select(F.length("_word")).distinct().collect()]
-    lengths = [n for n in lengths if n is not None]
-
+    words = lookup.withColumn("_word", F.lower(F.col(keyword))).withColumn("_anchor", _anchor(F.col("_word")))
+    # at most ANCHOR + 1 different lengths
+    lengths = [r[0] for r in words.select(F.length("_anchor")).distinct().collect() if r[0] is not None]
     texts = df.select(F.col(text).alias("_text")).where(F.col(text).isNotNull()).distinct()
     low = F.lower("_text")
-    cuts = [_pieces(low, n) for n in lengths]
-    matches = None
-    if cuts:
-        pieces = texts.select("_text", F.explode(F.array_distinct(F.concat(*cuts))).alias("_word"))
-        matches = pieces.join(broadcast_if_small(exact), "_word", "inner").drop("_word")
-    patterns = words.where(wild).drop("_word")
-    n_patterns = patterns.limit(LOOKUP_ROWS + 1).count()
-    if n_patterns > LOOKUP_ROWS:
-        raise ValueError(f"more than {LOOKUP_ROWS} keywords with wildcards")
-    if n_patterns:
-        fits = F.like(F.lower("_text"), F.concat(F.lit("%"), F.lower(keyword), F.lit("%")))
-        by_pattern = texts.join(F.broadcast(patterns), fits, "inner")
-        matches = by_pattern if matches is None else matches.unionByName(by_pattern)
-    if matches is None:
-        matches = texts.join(words.drop("_word"), F.lit(False), "inner")
+    # the empty piece stands once for each text, the others where they occur
+    cuts = [F.array(F.lit("")) if n == 0 else _pieces(low, n) for n in lengths] or [F.array().cast("array<string>")]
+    pieces = texts.select("_text", F.explode(F.array_distinct(F.concat(*cuts))).alias("_anchor"))
+    fits = F.like(low, F.concat(F.lit("%"), F.col("_word"), F.lit("%")))
+    matches = pieces.join(broadcast_if_small(words), "_anchor", "inner").where(fits).drop("_anchor", "_word")
     return df.join(matches, df[text] == matches["_text"], "left").drop("_text")

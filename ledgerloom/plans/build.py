@@ -25,8 +25,9 @@ class Models:
     def __init__(
         self, raw: DataFrame, as_of: dt.date | str | None = None,
         keep: Callable[[DataFrame, str], DataFrame] = store,
+        calendar: tuple[str, str] = (dates.FIRST_DAY, dates.LAST_DAY),
     ):
-        self.raw, self.as_of, self._keep = raw, as_of, keep
+        self.raw, self.as_of, self._keep, self.calendar = raw, as_of, keep, calendar
 
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -66,7 +67,9 @@ class Models:
 
     @cached_property
     def dim_dates(self) -> DataFrame:
-        return self._keep(dates.dim_dates(dates.date_spine(self.raw.sparkSession), self.as_of), "dim_dates")
+        """The days of ``calendar``, and all others from the first order to the last."""
+        spine = dates.spine_covering(self.stg_orders, "order_created_at", *self.calendar)
+        return self._keep(dates.dim_dates(spine, self.as_of), "dim_dates")
 
     def tables(self) -> dict[str, DataFrame]:
         """Every model that has declared checks, by name."""
@@ -90,6 +93,7 @@ BUCKETED = ("stg_orders", "stg_line_items", "stg_fulfillments", "fct_orders")
 def build(
     spark: SparkSession, raw: DataFrame, database: str, as_of: dt.date | str | None = None,
     buckets: int | None = None, staged_as_views: bool = False,
+    calendar: tuple[str, str] = (dates.FIRST_DAY, dates.LAST_DAY),
 ) -> Models:
     """Rebuild all kept models, staged ones in ``<database>_staging``, the others in ``<database>_marts``.
 
@@ -116,7 +120,7 @@ def build(
         )
         return spark.table(full)
 
-    models = Models(raw, as_of, keep)
+    models = Models(raw, as_of, keep, calendar)
     models.tables()
     models.dim_dates  # noqa: B018 - built on access
     return models

@@ -40,6 +40,8 @@ def order_versions(
 
 
 def surrogate_key(*columns: str) -> Column:
-    """A hash over several columns as text; a null differs from an empty text."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("␀")) for c in columns]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """A hash over several columns as text. Each part has its length before it, so that no two lists
+    of values give one text; a null is written unlike any text."""
+    parts = [F.col(c).cast("string") for c in columns]
+    written = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("null,")) for p in parts]
+    return F.sha2(F.concat(*written), 256)

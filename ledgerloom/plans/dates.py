@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schema as S
 from ledgerloom.functions.scalars import as_of_date, sunday_week
 
-# The span of the date dimension.
+# The least span of the date dimension.
 FIRST_DAY = "2020-01-01"
 LAST_DAY = "2030-12-31"
 
@@ -23,6 +23,13 @@ def date_spine(spark: SparkSession, first: str = FIRST_DAY, last: str = LAST_DAY
     return _days(span)
 
 
+def spine_covering(df: DataFrame, column: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> DataFrame:
+    """Every day of a span, widened to the first and the last date of a column."""
+    day = F.to_date(column)
+    return _days(df.agg(
+        F.least(F.lit(first).cast("date"), F.min(day)).alias("first"), F.greatest(F.lit(last).cast("date"), F.max(day)).alias("last")))
+
+
 def spine_over(df: DataFrame, column: str, months_after: int = 0) -> DataFrame:
     """Every day from the first to the last date of a column, and some months beyond."""
     day = F.to_date(column)

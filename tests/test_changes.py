@@ -66,10 +66,13 @@ def test_stream_appends_each_file_once(spark, raw, tmp_path):
     assert feed.newest_sync(landed).collect()[0][0] == dt.datetime(2024, 1, 1, 0, 0, 1)
 
 
-def test_redeliveries_within_the_span_are_dropped(spark, tmp_path):
+def test_a_late_first_delivery_is_kept(spark, tmp_path):
     inbox, table, progress = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "progress")
-    _deliver(inbox, "a.json", order("1", 0), order("1", 0), order("1", 1))
-    feed.ingest(spark, str(inbox), table, progress, within="1 hour")
-    _deliver(inbox, "b.json", order("1", 1), order("2", 1))
-    feed.ingest(spark, str(inbox), table, progress, within="1 hour")
-    assert values(feed.landed(spark, table), "id", "_daton_batch_id") == [("1", "b0"), ("1", "b1"), ("2", "b1")]
+    _deliver(inbox, "a.json", order("1", 5_000_000), order("1", 5_000_001))
+    feed.ingest(spark, str(inbox), table, progress)
+    # synced two months before what has come already
+    _deliver(inbox, "b.json", order("9", 0), order("1", 5_000_001))
+    feed.ingest(spark, str(inbox), table, progress)
+    landed = feed.landed(spark, table)
+    assert values(landed, "id") == [("1",), ("1",), ("1",), ("9",)]
+    assert values(staging.latest_orders(landed), "order_id", "_daton_batch_id") == [("1", "b5000001"), ("9", "b0")]

@@ -11,7 +11,6 @@ import re
 
 from ledgerloom.catalog.feed_models import NULLABLE_FLAGS, NULLABLE_NUMBERS
 from ledgerloom.catalog.lookups import as_values
-from ledgerloom.checks.suite import DECLARED
 from ledgerloom.sources.feed import AS_OF
 
 RAW_FEED = """li AS (
@@ -685,31 +684,87 @@ UNION ALL SELECT 'fulfillments', (SELECT count(*) FROM every_shipment), (SELECT
 }
 
 
-def _check_sql(check) -> str:
-    table, column = MODEL_STEPS[check.table], check.column
-    if check.kind == "unique":
+# The declared checks, a line each. The values a column may have stand behind it,
+# or the table whose key it points to; "warn" stands where a failure only warns.
+_CHECKS = """
+not_null raw_orders id
+unique stg_orders order_id
+not_null stg_orders order_id
+not_null stg_orders customer_id
+not_null stg_orders order_created_at
+not_null stg_orders total_amount
+accepted_values stg_orders payment_status paid pending refunded partially_refunded voided authorized
+accepted_values stg_orders fulfillment_status fulfilled unfulfilled partial restocked
+unique stg_line_items line_item_id
+not_null stg_line_items line_item_id
+not_null stg_line_items order_id
+not_null stg_line_items product_title
+not_null stg_line_items quantity
+not_null stg_line_items unit_price
+relationships stg_line_items order_id stg_orders
+unique stg_fulfillments fulfillment_id
+not_null stg_fulfillments fulfillment_id
+not_null stg_fulfillments order_id
+not_null stg_fulfillments fulfilled_at
+relationships stg_fulfillments order_id stg_orders
+unique int_orders_enriched order_id
+not_null int_orders_enriched order_id
+not_null int_orders_enriched customer_id
+accepted_values int_orders_enriched order_size_bucket small medium large enterprise
+unique int_customer_history customer_id
+not_null int_customer_history customer_id
+accepted_values int_customer_history frequency_segment one_time developing loyal champion
+accepted_values int_customer_history recency_segment active cooling at_risk churned
+accepted_values int_customer_history value_segment low_value medium_value high_value vip
+unique fct_orders order_id
+not_null fct_orders order_id
+not_null fct_orders customer_id
+not_null fct_orders order_date
+not_null fct_orders total_amount
+relationships fct_orders customer_id dim_customers
+warn accepted_values fct_orders payment_status paid pending refunded voided partially_refunded authorized partially_paid
+accepted_values fct_orders order_size_bucket small medium large enterprise
+unique fct_daily_revenue order_date
+not_null fct_daily_revenue order_date
+unique dim_customers customer_id
+not_null dim_customers customer_id
+accepted_values dim_customers customer_tier platinum gold silver bronze
+accepted_values dim_customers frequency_segment one_time developing loyal champion
+accepted_values dim_customers recency_segment active cooling at_risk churned
+accepted_values dim_customers value_segment low_value medium_value high_value vip
+unique dim_products product_id
+not_null dim_products product_id
+accepted_values dim_products product_tier top_10 top_50 top_100 other
+accepted_values dim_products product_status new active dormant
+"""
+
+
+def _check_sql(line: str) -> str:
+    severity = "warn" if line.startswith("warn ") else "error"
+    kind, model, column, *rest = line.removeprefix("warn ").split()
+    table = MODEL_STEPS[model]
+    if kind == "unique":
         failing = f"(SELECT 1 FROM {table} GROUP BY {column} HAVING count(*) > 1)"
-    elif check.kind == "not_null":
+    elif kind == "not_null":
         failing = f"{table} WHERE {column} IS NULL"
-    elif check.kind == "accepted_values":
-        listed = ", ".join(f"'{v}'" for v in check.args["values"])
+    elif kind == "accepted_values":
+        listed = ", ".join(f"'{v}'" for v in rest)
         failing = f"{table} WHERE {column} NOT IN ({listed})"
     else:
-        parent, key = MODEL_STEPS[check.args["to"]], check.args["field"]
         failing = (
             f"{table} WHERE {column} IS NOT NULL AND NOT EXISTS "
-            f"(FROM {parent} AS p WHERE p.{key} = {table}.{column})"
+            f"(FROM {MODEL_STEPS[rest[0]]} AS p WHERE p.{column} = {table}.{column})"
         )
     return (
-        f"SELECT '{check.name}' AS check_name, '{check.table}' AS table_name, '{column}' AS column_name, "
-        f"'{check.severity}' AS severity, (SELECT count(*) FROM {failing}) AS failures"
+        f"SELECT '{kind}_{model}_{column}' AS check_name, '{model}' AS table_name, '{column}' AS column_name, "
+        f"'{severity}' AS severity, (SELECT count(*) FROM {failing}) AS failures"
     )
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: _chain(_select(*parts)) for name, parts in SELECTS.items()}
     out |= {name: _chain(text.strip()) for name, text in _STATEMENTS.items()}
-    suite = "\nUNION ALL ".join(_check_sql(c) for c in DECLARED)
+    suite = "\nUNION ALL ".join(map(_check_sql, _CHECKS.split("\n")[1:-1]))
     out["check_suite"] = _chain(
         "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
         f"FROM (\n{suite})"

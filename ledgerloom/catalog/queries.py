@@ -633,7 +633,7 @@ def fct_orders(m):
 
 @query
 def daily_revenue(m):
-    return marts.fct_daily_revenue(m.fct_orders)
+    return marts.newest_first(marts.fct_daily_revenue(m.fct_orders))
 
 
 @query

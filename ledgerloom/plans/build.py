@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.checks.suite import DECLARED, run_suite
+from ledgerloom.checks.suite import DECLARED, FURTHER, ON_LOOKUPS, run_suite
 from ledgerloom.operators.stored import store
 from ledgerloom.plans import dates, descriptions, intermediate, marts, staging
 from ledgerloom.sources.tables import ensure_database, save_table, save_view
@@ -72,22 +72,26 @@ class Models:
         return self._keep(dates.dim_dates(spine, self.as_of), "dim_dates")
 
     def tables(self) -> dict[str, DataFrame]:
-        """Every model that has declared checks, by name."""
+        """Every model that has declared checks, by name.
+
+        The two views have the rows of the fact and the dimension that are made of them
+        one to one, and their checked columns unchanged; those are read in their place.
+        """
+        stored = {"int_orders_enriched": "fct_orders", "int_customer_history": "dim_customers"}
         names = dict.fromkeys(c.table for c in DECLARED if c.table != "raw_orders")
-        return {"raw_orders": self.raw, **{n: getattr(self, n) for n in names}}
+        return {"raw_orders": self.raw, **{n: getattr(self, stored.get(n, n)) for n in names}}
 
-    def check(self) -> DataFrame:
-        """The declared checks; of the two views, the checked columns are computed once."""
-        tables = self.tables()
-        for name in ("int_orders_enriched", "int_customer_history"):
-            checked = dict.fromkeys(c.column for c in DECLARED if c.table == name)
-            tables[name] = store(tables[name].select(*checked), "checked")
-        return run_suite(DECLARED, tables)
+    def check(self, further: bool = False, lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        """The declared checks; with ``further`` the further ones too, and those on the lookup tables given."""
+        checks = [*DECLARED, *(FURTHER if further else ()), *(c for c in ON_LOOKUPS if c.table in (lookups or {}))]
+        return run_suite(checks, {**self.tables(), **(lookups or {})})
 
 
 # Staged tables share this column, so bucketing by it makes their joins local.
 BUCKET_COLUMN = "order_id"
-BUCKETED = ("stg_orders", "stg_line_items", "stg_fulfillments", "fct_orders")
+BUCKETED = ("stg_orders", "stg_line_items", "stg_fulfillments")
+# Facts that are read by date are stored by month.
+PARTITIONED = {"fct_orders": ("order_year", "order_month")}
 
 
 def build(
@@ -97,9 +101,10 @@ def build(
 ) -> Models:
     """Rebuild all kept models, staged ones in ``<database>_staging``, the others in ``<database>_marts``.
 
-    With ``buckets`` the order-grained tables are stored hashed by order, and the joins
+    With ``buckets`` the staged tables are stored hashed by order, and the joins
     and aggregates that enrich orders run without a shuffle. Choose it so that one
-    bucket of line items fits a task. ``staged_as_views`` publishes the staged models as
+    bucket of line items fits a task. The order fact is stored by month, so that a range
+    of dates reads its months only. ``staged_as_views`` publishes the staged models as
     views instead: nothing is stored, and every reader computes them again.
     """
     places = {True: f"{database}_staging", False: f"{database}_marts"}
@@ -115,6 +120,7 @@ def build(
         about = descriptions.MODELS.get(name, {})
         save_table(
             df, full, bucket_by=(buckets, BUCKET_COLUMN) if buckets and name in BUCKETED else None,
+            partition_by=PARTITIONED.get(name, ()),
             description=about.get("description"), columns=about.get("columns"),
             properties=about.get("properties"),
         )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import segments
 from ledgerloom.functions.scalars import as_of_date, calendar_days, divide_or_null
+from ledgerloom.operators.lookup import broadcast_if_small
 from ledgerloom.operators.ranking import with_ranks
 from ledgerloom.operators.stored import store
 
@@ -37,6 +38,13 @@ def fct_orders(enriched: DataFrame) -> DataFrame:
     )
 
 
+def ordered_since(fact: DataFrame, day: str) -> DataFrame:
+    """Orders from a day on. The months are compared as well: the stored fact skips those before."""
+    first = F.lit(day).cast("date")
+    month = F.col("order_year") * 12 + F.col("order_month")
+    return fact.where((F.col("order_date") >= first) & (month >= F.year(first) * 12 + F.month(first)))
+
+
 def kept_orders(fact: DataFrame) -> DataFrame:
     return fact.where(~F.col("is_canceled"))
 
@@ -76,9 +84,13 @@ def daily_rates() -> dict[str, Column]:
 
 
 def by_day(orders: DataFrame, day: tuple[str, ...], measures: dict[str, Column]) -> DataFrame:
-    """Daily aggregates with the three rates, newest day first."""
+    """Daily aggregates with the three rates. A stored table has no order; readers sort."""
     daily = orders.groupBy(*day).agg(*[c.alias(n) for n, c in measures.items()])
-    return daily.withColumns(daily_rates()).orderBy(F.col("order_date").desc())
+    return daily.withColumns(daily_rates())
+
+
+def newest_first(daily: DataFrame) -> DataFrame:
+    return daily.orderBy(F.col("order_date").desc())
 
 
 def fct_daily_revenue(fact: DataFrame) -> DataFrame:
@@ -129,16 +141,25 @@ PRODUCT_ATTRIBUTES = {
 }
 
 
-def latest_product_attributes(lines: DataFrame) -> DataFrame:
+# Products are broadcast up to so many (a key and a time each), and joined by a shuffle beyond.
+BROADCAST_PRODUCTS = 1_000_000
+
+
+def latest_product_attributes(lines: DataFrame, last_sold: DataFrame | None = None) -> DataFrame:
     """Attributes of each product as last sold; an attribute that is null there stays null.
 
-    One struct is kept per product and task, so the shuffle carries products, not lines.
+    The last time of a product is a hash aggregate of two columns (``last_sold`` has it
+    already, if given). Only the few lines of that time are compared further.
     """
+    sold = lines.where(F.col("product_id").isNotNull())
+    if last_sold is None:
+        last_sold = sold.groupBy("product_id").agg(F.max("order_created_at").alias("last_sold_at"))
+    last = last_sold.select(F.col("product_id").alias("_product"), F.col("last_sold_at").alias("_at"))
+    at_last = sold.join(
+        broadcast_if_small(last, BROADCAST_PRODUCTS),
+        (F.col("product_id") == F.col("_product")) & F.col("order_created_at").eqNullSafe(F.col("_at")), "inner")
     attributes = F.struct(*[F.col(c).alias(a) for c, a in PRODUCT_ATTRIBUTES.items()])
-    sold = F.struct("order_created_at", "order_id", "line_item_id")
-    latest = lines.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(
-        F.max_by(attributes, sold).alias("_latest")
-    )
+    latest = at_last.groupBy("product_id").agg(F.max_by(attributes, F.struct("order_id", "line_item_id")).alias("_latest"))
     return latest.select("product_id", "_latest.*")
 
 
@@ -155,15 +176,6 @@ def product_sums(lines: DataFrame) -> DataFrame:
     )
 
 
-def product_metrics(lines: DataFrame) -> DataFrame:
-    """Sums and latest attributes per product.
-
-    Two aggregates over a stored table instead of one: the distinct order count regroups
-    rows by (product, order), and should not drag the text attributes through that shuffle.
-    """
-    return product_sums(lines).join(latest_product_attributes(lines), "product_id", "inner")
-
-
 def with_sales_ranks(products: DataFrame) -> DataFrame:
     """Ranks by revenue and by units. Revenue ties at six digits: the noise of summing
     doubles depends on the order of the rows and must not decide a rank."""
@@ -178,7 +190,8 @@ def dim_products(lines: DataFrame, as_of: dt.date | str | None = None) -> DataFr
     Lines of test and cancelled orders count, as staged lines are not filtered by either.
     """
     today = as_of_date(as_of)
-    products = with_sales_ranks(store(product_metrics(lines), "product_metrics"))
+    sums = store(product_sums(lines), "product_sums")
+    products = with_sales_ranks(sums).join(latest_product_attributes(lines, sums), "product_id", "inner")
     idle = calendar_days("last_sold_at", today)
     return products.select(
         "product_id", "product_title", "product_name", "product_sku", "vendor", "variant_title",

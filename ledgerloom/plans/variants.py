@@ -170,7 +170,7 @@ def revenue_by_segment_and_vendor(
     applied to their table before any join.
     """
     # a filter on the right side of the left joins drops unmatched rows, so inner is the same
-    dated = fact.where(F.col("order_date") >= F.lit(since).cast("date")).select("order_id", "customer_id")
+    dated = marts.ordered_since(fact, since).select("order_id", "customer_id")
     wanted = customers.where(F.col("value_segment") == value_segment).select(
         "customer_id", "value_segment", "customer_tier"
     )

@@ -107,3 +107,54 @@ def test_lookup_checks(spark):
     failed = {r.check_name for r in run_suite(ON_LOOKUPS, tables).where("failures > 0").collect()}
     assert failed == {"unique_country_codes_country_code", "not_null_country_codes_country_name",
                       "accepted_values_country_codes_region"}
+
+
+def test_every_kind_runs_in_a_suite(spark, t):
+    parent = spark.createDataFrame([("b",), (None,)], "k string")
+    loads = spark.sql("SELECT timestamp '2024-01-01 00:00:00' AS at")
+    tables = {"t": t, "parent": parent, "loads": loads, "one": t.limit(1)}
+    limits = {"warn_hours": 24, "error_hours": 48}
+    checks = [
+        (Check("t", "row_count_between", args={"low": 5, "high": 9}), (1, "fail")),
+        (Check("t", "equal_rowcount", args={"to": "one"}), (1, "fail")),
+        (Check("t", "fewer_rows", args={"to": "one"}, severity="warn"), (1, "warn")),
+        (Check("one", "fewer_rows", args={"to": "t"}), (0, "pass")),
+        (Check("t", "distinct_source_lost", "k", {"to": "t"}), (1, "fail")),
+        (Check("parent", "without_children", "k", {"to": "t"}), (2, "fail")),
+        (Check("t", "at_least_one", "k"), (0, "pass")),
+        (Check("t", "distinct_count_is", "n", {"expected": 3}), (0, "pass")),
+        (Check("loads", "recency", "at", {"part": "HOUR", "count": 1, "as_of": "2024-01-02 00:00:00"}), (1, "fail")),
+        (Check("loads", "freshness", "at", {"as_of": "2024-01-02 00:00:00", **limits}), (0, "pass")),
+        (Check("loads", "freshness", "at + interval 0 hours", {"as_of": "2024-01-02 12:00:00", **limits}), (1, "warn")),
+        (Check("loads", "freshness", "date(at)", {"as_of": "2024-01-09 12:00:00", **limits}), (1, "fail")),
+    ]
+    report = [(r.check_name, (r.failures, r.status)) for r in run_suite([c for c, _ in checks], tables).collect()]
+    assert sorted(report) == sorted((c.name, want) for c, want in checks)
+
+
+def test_checks_read_together_count_as_alone(spark):
+    parent = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "c"), (None, "d"), (9, "e")], "id int, x string")
+    child = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,)], "pid int")
+    other = spark.createDataFrame([(7,), (1,)], "pid int")
+    tables = {"p": parent, "same": parent, "c": child, "o": other}
+    checks = [
+        Check("p", "unique", "id"), Check("p", "not_null", "x"), Check("same", "not_null", "id"), Check("p", "unique", "x"),
+        Check("p", "unique", "id", where="x <> 'b'"), Check("c", "relationships", "pid", {"to": "p", "field": "id"}),
+        Check("o", "relationships", "pid", {"to": "same", "field": "id"}),
+        Check("o", "relationships", "pid", {"to": "p", "field": "id"}, where="pid > 7"),
+    ]
+    report = {r.check_name: r.failures for r in run_suite(checks, tables).collect()}
+    for c in checks:
+        assert report[c.name] == n(failing_rows(c, tables)), c.name
+    assert report["relationships_c_pid"] == 2 and report["unique_p_id"] == 2
+
+
+def test_suite_of_the_models_reads_each_table_once(spark, raw):
+    from conftest import AS_OF, line, shipment
+
+    from ledgerloom.plans.build import Models
+
+    models = Models(raw(order("1", line_items=[line("l")], fulfillments=[shipment("f")])), AS_OF)
+    plan = models.check()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 18 and plan.count("Scan parquet") <= 12
+    assert models.check(further=True).count() == len(DECLARED) + len(FURTHER)

@@ -118,7 +118,7 @@ def test_day_after_a_cancelled_first_order(shop):
 
 
 def test_daily_invariants(shop):
-    rows = marts.fct_daily_revenue(shop.fct_orders).collect()
+    rows = marts.newest_first(marts.fct_daily_revenue(shop.fct_orders)).collect()
     assert [r.order_date for r in rows] == sorted((r.order_date for r in rows), reverse=True)
     for r in rows:
         assert r.order_count == r.new_customer_orders + r.returning_customer_orders

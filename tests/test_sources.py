@@ -150,7 +150,7 @@ def test_nothing_runs_python_per_row(spark, raw):
 
     df = raw(order("1", line_items=[line("1")]))
     for frame in (staging.stg_orders(df), staging.stg_line_items(df), staging.stg_fulfillments(df),
-                  marts.product_metrics(staging.stg_line_items(df))):
+                  marts.product_sums(staging.stg_line_items(df))):
         assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
 
 

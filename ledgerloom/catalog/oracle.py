@@ -31,7 +31,19 @@ items AS (
      'variant_title': CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_type END,
      'quantity': CAST(CAST(l_quantity AS BIGINT) AS VARCHAR),
      'price': CAST(p_retailprice AS VARCHAR),
-     'total_discount': CAST(l_discount AS VARCHAR)} ORDER BY l_linenumber) AS line_items
+     'total_discount': CAST(l_discount AS VARCHAR),
+     'variant_id': CAST(l_partkey * 100 + p_size AS VARCHAR),
+     'grams': CASE WHEN p_size % 5 <> 0 THEN CAST(p_size * 10 AS VARCHAR) END,
+     'fulfillment_service': CASE WHEN l_linenumber % 2 = 1 THEN 'manual' ELSE 'carrier' END,
+     'fulfillment_status': CASE WHEN l_linestatus = 'F' THEN 'fulfilled' END,
+     'fulfillable_quantity': CASE WHEN l_linestatus = 'O' THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) ELSE '0' END,
+     'requires_shipping': CASE WHEN p_size % 4 <> 0 THEN 'true' ELSE 'false' END,
+     'taxable': CASE WHEN l_partkey % 2 = 0 THEN 'true' ELSE 'false' END,
+     'gift_card': CASE WHEN l_partkey % 50 = 0 THEN 'true' ELSE 'false' END,
+     'product_exists': CASE WHEN l_partkey % 97 <> 0 THEN 'true' ELSE 'false' END,
+     'variant_inventory_management': CASE WHEN p_size % 2 = 0 THEN 'own' END,
+     'admin_graphql_api_id': 'gid/line/' || CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)
+     } ORDER BY l_linenumber) AS line_items
   FROM li JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
   GROUP BY l_orderkey, v),
 ship AS (
@@ -45,7 +57,15 @@ ful AS (
      'tracking_company': CASE l_suppkey % 6 WHEN 0 THEN 'FedEx Ground' WHEN 1 THEN 'UPS Next Day Air'
         WHEN 2 THEN 'usps' WHEN 3 THEN 'DHL eCommerce' WHEN 4 THEN NULL ELSE 'OnTrac' END,
      'status': 'SUCCESS',
-     'shipment_status': CASE rf WHEN 'A' THEN 'DELIVERED' WHEN 'N' THEN 'In_Transit' ELSE 'confirmed' END
+     'shipment_status': CASE rf WHEN 'A' THEN 'DELIVERED' WHEN 'N' THEN 'In_Transit' ELSE 'confirmed' END,
+     'name': '#JC' || l_orderkey || '.' || l_suppkey,
+     'tracking_number': CASE WHEN l_suppkey % 6 <> 4 THEN l_orderkey || '-' || l_suppkey END,
+     'tracking_url': 'track/' || l_orderkey || '-' || l_suppkey,
+     'tracking_numbers': '[' || l_orderkey || '-' || l_suppkey || ']',
+     'tracking_urls': '[track/' || l_orderkey || '-' || l_suppkey || ']',
+     'service': CASE WHEN l_suppkey % 2 = 0 THEN 'manual' ELSE 'carrier' END,
+     'location_id': CAST(l_suppkey % 5 AS VARCHAR),
+     'admin_graphql_api_id': 'gid/shipment/' || l_orderkey || '-' || l_suppkey
      } ORDER BY l_suppkey) AS fulfillments
   FROM ship JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, v),
 raw_orders AS (
@@ -54,10 +74,24 @@ raw_orders AS (
     ov.o_orderdate AS created_at, ov.o_orderdate + to_days(CAST(ov.v AS INT)) AS updated_at,
     CASE WHEN ov.o_custkey % 100 = 99 THEN [] ELSE [{'id': CAST(ov.o_custkey AS VARCHAR)}] END AS customer,
     'c' || CAST(ov.o_custkey AS VARCHAR) || '@ex.com' AS email,
-    CAST(ROUND(ov.o_totalprice / 1000, 2) AS VARCHAR) AS total_price,
+    CASE WHEN ov.o_orderkey % 499 = 7 THEN '-1.5' ELSE CAST(ROUND(ov.o_totalprice / 1000, 2) AS VARCHAR) END AS total_price,
     CAST(ROUND(ov.o_totalprice / 1100, 2) AS VARCHAR) AS subtotal_price,
-    CASE WHEN ov.o_orderkey % 4 = 0 THEN CAST(ROUND(ov.o_totalprice / 9000, 2) AS VARCHAR) ELSE '0.0' END AS total_discounts,
-    CAST(ROUND(ov.o_totalprice / 20000, 2) AS VARCHAR) AS total_tax, '0.0' AS total_tip_received,
+    CASE WHEN ov.o_orderkey % 211 = 5 THEN CAST(ROUND(ov.o_totalprice / 900, 2) AS VARCHAR)
+         WHEN ov.o_orderkey % 4 = 0 THEN CAST(ROUND(ov.o_totalprice / 9000, 2) AS VARCHAR) ELSE '0.0' END AS total_discounts,
+    CAST(ROUND(ov.o_totalprice / 20000, 2) AS VARCHAR) AS total_tax,
+    CASE WHEN ov.o_orderkey % 6 = 1 THEN CAST(ROUND(ov.o_totalprice / 15000, 2) AS VARCHAR) ELSE '0.0' END AS total_tip_received,
+    CAST(ROUND(ov.o_totalprice / 1050, 2) AS VARCHAR) AS total_line_items_price,
+    CASE WHEN ov.o_orderkey % 7 <> 0 THEN 'CN' || ov.o_orderkey END AS confirmation_number,
+    CASE WHEN ov.o_orderkey % 11 <> 0 THEN ov.o_orderdate + INTERVAL 1 HOUR END AS processed_at,
+    CASE WHEN ov.o_orderstatus = 'F' THEN ov.o_orderdate + INTERVAL 20 DAY END AS closed_at,
+    CASE WHEN ov.o_orderkey % 20 = 7 THEN ov.o_orderdate + INTERVAL 2 DAY END AS cancelled_at,
+    CASE WHEN ov.o_orderkey % 4 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
+    CASE WHEN ov.o_orderkey % 9 = 0 THEN 'GBP' ELSE 'USD' END AS presentment_currency,
+    CASE WHEN ov.o_orderkey % 3 = 0 THEN 'S' || ov.o_orderkey END AS source_identifier,
+    CASE WHEN ov.o_custkey % 2 = 1 THEN '+1' || ov.o_custkey END AS phone,
+    'tag' || (ov.o_orderkey % 3) AS tags, 't' || ov.o_orderkey AS token, CAST(ov.o_orderkey % 5 AS VARCHAR) AS app_id,
+    CASE WHEN ov.o_orderkey % 13 = 0 THEN NULL WHEN ov.o_orderkey % 8 <> 0 THEN 'true' ELSE 'false' END AS confirmed,
+    CASE WHEN ov.o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END AS taxes_included, 'u' || (ov.o_orderkey % 3) AS _daton_user_id,
     CASE WHEN ov.v < ov.max_v THEN 'PENDING' WHEN ov.o_orderstatus = 'F' THEN 'Paid'
          WHEN ov.o_orderstatus = 'O' THEN 'AUTHORIZED' ELSE 'refunded' END AS financial_status,
     CASE ov.o_orderstatus WHEN 'F' THEN 'Fulfilled' WHEN 'P' THEN 'partial' ELSE NULL END AS fulfillment_status,
@@ -86,6 +120,10 @@ SELECT id AS order_id, customer[1].id AS customer_id, name AS order_name,
   lower(cancel_reason) AS cancellation_reason, source_name AS order_source,
   ifnull(referring_site, 'direct') AS referring_site, email AS customer_email,
   test::BOOLEAN AS is_test_order, buyer_accepts_marketing::BOOLEAN AS accepts_marketing,
+  confirmation_number, processed_at AS order_processed_at, closed_at AS order_closed_at, cancelled_at AS order_cancelled_at,
+  total_line_items_price::DOUBLE AS line_items_total, currency AS order_currency, presentment_currency, source_identifier,
+  phone AS customer_phone, confirmed::BOOLEAN AS is_confirmed, taxes_included::BOOLEAN AS is_tax_inclusive,
+  tags AS order_tags, app_id, token AS order_token, _daton_user_id,
   epoch_ms(_daton_batch_runtime::BIGINT) AS synced_at, _daton_batch_id
 FROM raw_orders"""
 
@@ -117,7 +155,11 @@ SELECT order_id, x.id AS line_item_id, synced_at, _daton_batch_id, order_number,
   x.name AS product_name, x.variant_title AS variant_title, x.vendor AS product_vendor,
   x.quantity::BIGINT AS quantity, x.price::DOUBLE AS unit_price,
   x.total_discount::DOUBLE AS line_discount_amount,
-  x.quantity::BIGINT * x.price::DOUBLE AS line_total_before_discount
+  x.quantity::BIGINT * x.price::DOUBLE AS line_total_before_discount, x.variant_id AS variant_id,
+  x.grams::BIGINT AS weight_grams, x.fulfillment_service AS fulfillment_service, x.fulfillment_status AS fulfillment_status,
+  x.fulfillable_quantity::BIGINT AS fulfillable_quantity, x.requires_shipping::BOOLEAN AS requires_shipping,
+  x.taxable::BOOLEAN AS is_taxable, x.gift_card::BOOLEAN AS is_gift_card, x.product_exists::BOOLEAN AS product_exists,
+  x.variant_inventory_management AS inventory_management, x.admin_graphql_api_id AS admin_graphql_api_id
 FROM every_line"""
 
 STEPS["newest_lines"] = """
@@ -140,7 +182,9 @@ STEPS["typed_shipments"] = """
 SELECT x.id AS fulfillment_id, synced_at, _daton_batch_id, order_id, order_number, order_name,
   order_created_at, x.created_at AS fulfilled_at, x.updated_at AS fulfillment_updated_at,
   x.tracking_company AS shipping_carrier, lower(x.status) AS fulfillment_status,
-  lower(x.shipment_status) AS shipment_status
+  lower(x.shipment_status) AS shipment_status, x.name AS fulfillment_name, x.tracking_number AS tracking_number,
+  x.tracking_url AS tracking_url, x.tracking_numbers AS tracking_numbers_raw, x.tracking_urls AS tracking_urls_raw,
+  x.service AS fulfillment_service, x.location_id AS fulfillment_location_id, x.admin_graphql_api_id AS admin_graphql_api_id
 FROM every_shipment"""
 
 STEPS["newest_shipments"] = """
@@ -173,7 +217,7 @@ SELECT order_id, min(fulfilled_at) AS first_fulfilled_at, max(fulfilled_at) AS l
 FROM ss GROUP BY order_id"""
 
 STEPS["enriched"] = """
-SELECT so.* EXCLUDE (order_updated_at), NULL::TIMESTAMP AS order_processed_at,
+SELECT so.* EXCLUDE (order_updated_at, line_items_total),
   ifnull(line_item_count, 0) AS line_item_count, ifnull(l.total_quantity, 0) AS total_quantity,
   ifnull(l.line_items_total, 0) AS line_items_total, first_fulfilled_at, last_fulfilled_at,
   ifnull(fulfillment_count, 0) AS fulfillment_count, ifnull(s.is_fully_delivered, false) AS is_fully_delivered,
@@ -331,10 +375,6 @@ def _select(columns: str, source: str) -> str:
             "d": f"CAST({value} AS VARCHAR)",
             "t": f"strftime({value}, '%Y-%m-%d %H:%M:%S.%f')",
             "s": f"CAST({value} AS VARCHAR)",
-            "n": "CAST(NULL AS VARCHAR)",
-            "nl": "CAST(NULL AS BIGINT)",
-            "nf": "CAST(NULL AS DOUBLE)",
-            "nb": "CAST(NULL AS BOOLEAN)",
             "": value,
         }[kind]
         if name in NULLABLE_NUMBERS:
@@ -437,7 +477,7 @@ SELECTS: dict[str, tuple[str, str]] = {
     "array_length": (
         "order_id=id _daton_batch_id n_lines:i=len(line_items) n_fulfillments:i=len(fulfillments)", "raw_orders"),
     "rejoin_children": (
-        "order_id total_amount:f product_title quantity tracking_number:n shipment_status",
+        "order_id total_amount:f product_title quantity tracking_number shipment_status",
         "so LEFT JOIN sl USING (order_id) LEFT JOIN ss USING (order_id)"),
     "dedup_latest_order": ("order_id payment_status total_amount:f synced_at:t _daton_batch_id", "newest"),
     "dedup_composite_key": (
@@ -539,31 +579,31 @@ SELECTS: dict[str, tuple[str, str]] = {
         "product_id product_title product_name product_sku vendor variant_title", "ranked_products"),
     "customer_sources": ("customer_id order_sources=array_to_string(order_sources,',')", "per_customer"),
     "stg_orders": (
-        "order_id customer_id order_name order_number confirmation_number:n order_created_at:t "
-        "order_processed_at:n order_updated_at:t order_closed_at:n order_cancelled_at:n subtotal_amount:f "
-        "discount_amount:f tax_amount:f total_amount:f line_items_total:nf tip_amount:f order_currency:n "
-        "presentment_currency:n payment_status fulfillment_status cancellation_reason order_source "
-        "source_identifier:n referring_site customer_email customer_phone:n is_confirmed:nb is_test_order "
-        "is_tax_inclusive:nb accepts_marketing order_tags:n app_id:n order_token:n _daton_user_id:n "
+        "order_id customer_id order_name order_number confirmation_number order_created_at:t "
+        "order_processed_at:t order_updated_at:t order_closed_at:t order_cancelled_at:t subtotal_amount:f "
+        "discount_amount:f tax_amount:f total_amount:f line_items_total:f tip_amount:f order_currency "
+        "presentment_currency payment_status fulfillment_status cancellation_reason order_source "
+        "source_identifier referring_site customer_email customer_phone is_confirmed is_test_order "
+        "is_tax_inclusive accepts_marketing order_tags app_id order_token _daton_user_id "
         "synced_at:t _daton_batch_id " + _SPLIT_ORDERS.removeprefix("order_id "), "so"),
     "stg_line_items": (
         "order_id line_item_id synced_at:t _daton_batch_id order_number order_created_at:t product_id "
-        "variant_id:n product_sku product_title product_name variant_title product_vendor quantity "
-        "unit_price:f line_discount_amount:f weight_grams:nl line_total_before_discount:f "
-        "fulfillment_service:n fulfillment_status:n fulfillable_quantity:nl requires_shipping:nb "
-        "is_taxable:nb is_gift_card:nb product_exists:nb inventory_management:n admin_graphql_api_id:n "
+        "variant_id product_sku product_title product_name variant_title product_vendor quantity "
+        "unit_price:f line_discount_amount:f weight_grams line_total_before_discount:f "
+        "fulfillment_service fulfillment_status fulfillable_quantity requires_shipping "
+        "is_taxable is_gift_card product_exists inventory_management admin_graphql_api_id "
         + LINE_METRICS + "is_single_item_order", "sl"),
     "stg_fulfillments": (
         "fulfillment_id synced_at:t _daton_batch_id order_id order_number order_name order_created_at:t "
-        "fulfillment_name:n fulfilled_at:t fulfillment_updated_at:t shipping_carrier tracking_number:n "
-        "tracking_url:n tracking_numbers_raw:n tracking_urls_raw:n fulfillment_status shipment_status "
-        "fulfillment_service:n fulfillment_location_id:n admin_graphql_api_id:n hours_to_fulfill "
+        "fulfillment_name fulfilled_at:t fulfillment_updated_at:t shipping_carrier tracking_number "
+        "tracking_url tracking_numbers_raw tracking_urls_raw fulfillment_status shipment_status "
+        "fulfillment_service fulfillment_location_id admin_graphql_api_id hours_to_fulfill "
         "days_to_fulfill fulfillment_sequence order_fulfillment_count is_split_shipment "
         "shipping_carrier_standardized is_delivered is_in_transit", "ss"),
     "latest_version_lines": (
         "order_id line_item_id quantity", "typed_lines SEMI JOIN newest USING (order_id, _daton_batch_id)"),
     "orders_enriched": (
-        ORDER_FACT + ENRICHED + "order_processed_at:n cancellation_reason first_fulfilled_at:t "
+        ORDER_FACT + ENRICHED + "order_processed_at:t cancellation_reason first_fulfilled_at:t "
         "last_fulfilled_at:t", "enriched"),
     "customer_history": (
         CUSTOMER_SUMS + "acquisition_source customer_email avg_days_between_orders:f", "history"),
@@ -639,7 +679,7 @@ SELECTS: dict[str, tuple[str, str]] = {
     "check_fewer_rows": (
         "rows_a rows_b",
         "(SELECT (SELECT count(*) FROM raw_orders) AS rows_a, (SELECT count(*) FROM so) AS rows_b) WHERE rows_a >= rows_b"),
-    "check_at_least_one": ("n_values", "(SELECT count(NULL) AS n_values FROM so) WHERE n_values = 0"),
+    "check_at_least_one": ("n_values", "(SELECT count(order_closed_at) AS n_values FROM so WHERE payment_status = 'authorized') WHERE n_values = 0"),
     "check_between": ("order_id total_amount:f", "fo WHERE total_amount < 10 OR total_amount > 400"),
     "check_length": ("order_id customer_email", "so WHERE length(customer_email) NOT BETWEEN 5 AND 10"),
     "check_regex": (

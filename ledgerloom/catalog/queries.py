@@ -790,7 +790,7 @@ def check_fewer_rows(m):
 
 @query
 def check_at_least_one(m):
-    return checks.at_least_one(m.stg_orders, "order_closed_at")
+    return checks.at_least_one(m.stg_orders.where("payment_status = 'authorized'"), "order_closed_at")
 
 
 @query

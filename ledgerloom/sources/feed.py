@@ -35,6 +35,10 @@ def _cents(amount: Column) -> Column:
     return F.round(amount * 100, 0) / 100
 
 
+def _flag(test: Column) -> Column:
+    return F.when(test, "true").otherwise("false")
+
+
 def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
@@ -95,6 +99,17 @@ def derive_raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         "quantity": F.col("l_quantity").cast("long").cast("string"),
         "price": _text("p_retailprice"),
         "total_discount": _text("l_discount"),
+        "variant_id": (F.col("l_partkey") * 100 + F.col("p_size")).cast("string"),
+        "grams": F.when(F.col("p_size") % 5 != 0, (F.col("p_size") * 10).cast("string")),
+        "fulfillment_service": F.when(F.col("l_linenumber") % 2 == 1, "manual").otherwise("carrier"),
+        "fulfillment_status": F.when(F.col("l_linestatus") == "F", "fulfilled"),
+        "fulfillable_quantity": F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("long").cast("string")).otherwise("0"),
+        "requires_shipping": _flag(F.col("p_size") % 4 != 0),
+        "taxable": _flag(F.col("l_partkey") % 2 == 0),
+        "gift_card": _flag(F.col("l_partkey") % 50 == 0),
+        "product_exists": _flag(F.col("l_partkey") % 97 != 0),
+        "variant_inventory_management": F.when(F.col("p_size") % 2 == 0, "own"),
+        "admin_graphql_api_id": F.concat(F.lit("gid/line/"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")),
     })
     described = lines.join(part, lines["l_partkey"] == part["p_partkey"]).join(dates, "l_orderkey")
     items = _nested(described, "l_linenumber", line, "line_items")
@@ -113,6 +128,7 @@ def derive_raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     company = F.lit(None).cast("string")
     for rest, label in companies.items():
         company = F.when(supplier % 6 == rest, label).otherwise(company)
+    tracking = F.concat(_text("l_orderkey"), F.lit("-"), supplier.cast("string"))
     shipment = _structs(S.FULFILLMENT_FIELDS, {
         "id": (F.col("l_orderkey") * 10000 + supplier).cast("string"),
         "created_at": F.timestamp_add("MINUTE", (supplier % 60).cast("int"), hours_later).cast("string"),
@@ -121,6 +137,14 @@ def derive_raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         "status": F.lit("SUCCESS"),
         "shipment_status": F.when(F.col("rf") == "A", "DELIVERED")
         .when(F.col("rf") == "N", "In_Transit").otherwise("confirmed"),
+        "name": F.concat(F.lit("#JC"), _text("l_orderkey"), F.lit("."), supplier.cast("string")),
+        "tracking_number": F.when(supplier % 6 != 4, tracking),
+        "tracking_url": F.concat(F.lit("track/"), tracking),
+        "tracking_numbers": F.concat(F.lit("["), tracking, F.lit("]")),
+        "tracking_urls": F.concat(F.lit("[track/"), tracking, F.lit("]")),
+        "service": F.when(supplier % 2 == 0, "manual").otherwise("carrier"),
+        "location_id": (supplier % 5).cast("string"),
+        "admin_graphql_api_id": F.concat(F.lit("gid/shipment/"), tracking),
     })
     shipments = _nested(shipped, "l_suppkey", shipment, "fulfillments")
 
@@ -144,12 +168,29 @@ def derive_raw_orders(spark: SparkSession, folder: str) -> DataFrame:
         "customer": F.when(F.col("o_custkey") % 100 == 99, no_customer)
         .otherwise(F.array(F.struct(_text("o_custkey").alias("id")))),
         "email": F.concat(F.lit("c"), _text("o_custkey"), F.lit("@ex.com")),
-        "total_price": _cents(F.col("o_totalprice") / 1000).cast("string"),
+        # some orders break the rules that the checks on amounts state
+        "total_price": F.when(key % 499 == 7, "-1.5").otherwise(_cents(F.col("o_totalprice") / 1000).cast("string")),
         "subtotal_price": _cents(F.col("o_totalprice") / 1100).cast("string"),
-        "total_discounts": F.when(key % 4 == 0, _cents(F.col("o_totalprice") / 9000).cast("string"))
+        "total_discounts": F.when(key % 211 == 5, _cents(F.col("o_totalprice") / 900).cast("string"))
+        .when(key % 4 == 0, _cents(F.col("o_totalprice") / 9000).cast("string"))
         .otherwise("0.0"),
         "total_tax": _cents(F.col("o_totalprice") / 20000).cast("string"),
-        "total_tip_received": F.lit("0.0"),
+        "total_tip_received": F.when(key % 6 == 1, _cents(F.col("o_totalprice") / 15000).cast("string")).otherwise("0.0"),
+        "total_line_items_price": _cents(F.col("o_totalprice") / 1050).cast("string"),
+        "confirmation_number": F.when(key % 7 != 0, F.concat(F.lit("CN"), _text("o_orderkey"))),
+        "processed_at": F.when(key % 11 != 0, F.timestamp_add("HOUR", F.lit(1), F.col("o_orderdate")).cast("string")),
+        "closed_at": F.when(F.col("o_orderstatus") == "F", F.timestamp_add("DAY", F.lit(20), F.col("o_orderdate")).cast("string")),
+        "cancelled_at": F.when(key % 20 == 7, F.timestamp_add("DAY", F.lit(2), F.col("o_orderdate")).cast("string")),
+        "currency": F.when(key % 4 == 0, "EUR").otherwise("USD"),
+        "presentment_currency": F.when(key % 9 == 0, "GBP").otherwise("USD"),
+        "source_identifier": F.when(key % 3 == 0, F.concat(F.lit("S"), _text("o_orderkey"))),
+        "phone": F.when(F.col("o_custkey") % 2 == 1, F.concat(F.lit("+1"), _text("o_custkey"))),
+        "tags": F.concat(F.lit("tag"), (key % 3).cast("string")),
+        "token": F.concat(F.lit("t"), _text("o_orderkey")),
+        "app_id": (key % 5).cast("string"),
+        "confirmed": F.when(key % 13 != 0, _flag(key % 8 != 0)),
+        "taxes_included": _flag(key % 2 == 0),
+        "_daton_user_id": F.concat(F.lit("u"), (key % 3).cast("string")),
         "financial_status": F.when(F.col("v") < F.col("max_v"), "PENDING")
         .when(F.col("o_orderstatus") == "F", "Paid")
         .when(F.col("o_orderstatus") == "O", "AUTHORIZED").otherwise("refunded"),

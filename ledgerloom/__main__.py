@@ -11,6 +11,7 @@ from collections import Counter
 
 from pyspark.sql import SparkSession
 
+from ledgerloom.operators.stored import drop_stored
 from ledgerloom.plans.build import build
 from ledgerloom.plans.dates import FIRST_DAY, LAST_DAY
 from ledgerloom.session import build_session
@@ -29,13 +30,14 @@ def run(
     loaded = save_table(read_jsonl(spark, raw), source.name())
     print(f"Loaded {loaded} rows into {source.name()}.")
     models = build(spark, source.read(spark), database, as_of, buckets, views, (first_day, last_day))
-    report = models.check().collect()  # one row per declared check
+    report = models.check(further=True).collect()  # one row per check
     for row in sorted(report, key=lambda r: (r.status, r.check_name)):
         if row.status != "pass":
             print(f"{row.status}: {row.check_name} ({row.failures} rows)")
     exported = export_database(spark, f"{database}_marts", export) if export else {}
     for name, path in exported.items():
         print(f"Exported {name} -> {path}")
+    drop_stored(spark)  # tables and exports are written
     return {"loaded": loaded, "checks": dict(Counter(r.status for r in report)), "exported": exported}
 
 

@@ -13,10 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.session import shared_folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/ledgerloom/{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/ledgerloom/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Remove what this application has stored, when no result that reads it is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def store(df: DataFrame, label: str) -> DataFrame:

@@ -76,3 +76,17 @@ def test_a_late_first_delivery_is_kept(spark, tmp_path):
     landed = feed.landed(spark, table)
     assert values(landed, "id") == [("1",), ("1",), ("1",), ("9",)]
     assert values(staging.latest_orders(landed), "order_id", "_daton_batch_id") == [("1", "b5000001"), ("9", "b0")]
+
+
+def test_keys_of_different_parts_differ(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("␀", "x"), (None, "x"), ("null,", "x"), ("", "x"), ("1:a", ""), ("", "1:a"), ("a1:b", "c"), ("a", "b1:c")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(changes.surrogate_key("x", "y")).distinct().count() == len(rows)
+
+
+def test_sync_history_is_ordered_and_limited(raw):
+    from ledgerloom.operators.dedup import sync_history
+
+    df = raw(*[order(i, b) for i, n in (("1", 2), ("2", 4), ("3", 1), ("4", 4), ("5", 3)) for b in range(n)])
+    assert [(r.order_id, r.times_synced) for r in sync_history(df).collect()] == [("2", 4), ("4", 4), ("5", 3), ("1", 2)]
+    assert [r.order_id for r in sync_history(df, top=2).collect()] == ["2", "4"]

@@ -80,3 +80,26 @@ def test_discount_details(spark, code, want):
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_very_many_wildcard_keywords_make_no_nested_loop(spark):
+    from ledgerloom.operators.lookup import contains_keyword
+
+    words = [f"pre{i:04d}%suf_x" for i in range(1500)] + ["%", "_", r"100\%", "", "Plain", r"a\_b%c"]
+    lookup = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "word string, id int")
+    texts = ["pre0007 and sufyx", "PRE1499sufzx!", "100% sure", "100 percent", "plain", "a_b then c", "axb then c", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "title string")
+    joined = contains_keyword(df, "title", lookup, "word")
+    got = {(r.title, r.word) for r in joined.collect()}
+
+    def like(text, pattern):
+        import re
+
+        parts = re.split(r"(\\.|[%_])", pattern.lower())
+        rule = "".join(".*" if p == "%" else "." if p == "_" else re.escape(p[1:] if p.startswith("\\") else p) for p in parts)
+        return re.search(rule, text.lower(), re.S) is not None
+
+    want = {(t, w) for t in texts if t is not None for w in words if like(t, w)} | {(None, None)}
+    assert got == want
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

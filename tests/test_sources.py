@@ -136,7 +136,7 @@ def test_command_loads_builds_checks_and_exports(spark, tmp_path):
 
     path = write_jsonl(tmp_path / "o.jsonl", *[order(str(i), line_items=[line(f"l{i}")]) for i in range(3)])
     out = run(spark, raw=path, database="shop", as_of=AS_OF, export=str(tmp_path / "out"), views=True)
-    assert out["loaded"] == 3 and out["checks"] == {"pass": 49}
+    assert out["loaded"] == 3 and out["checks"] == {"pass": 55}
     assert sorted(out["exported"]) == ["dim_customers", "dim_dates", "dim_products", "fct_daily_revenue", "fct_orders"]
     assert spark.table("shop_raw.orders").count() == 3 and _tables(spark, "shop_staging") == set()
 
@@ -165,3 +165,45 @@ def test_scan_reads_only_what_a_model_needs(spark, raw, tmp_path):
     assert "line_items:array<struct<id:string>>" in size
     lines = staging.stg_line_items(stored)._jdf.queryExecution().executedPlan().toString()
     assert lines.count("Exchange hashpartitioning") == 1
+
+
+def test_exported_doubles_are_plain_and_read_back(spark, tmp_path):
+    import csv
+    import math
+    import random
+
+    from ledgerloom.sources.tables import export_csv
+
+    rng = random.Random(1)
+    numbers = [12345678.9, 0.0001, -1e-7, 1e16, 123456789012345680.0, 5e-324, 1.7976931348623157e308, 0.0, -0.0, 1.0, 10000000.0, -2.5e7, 0.1 + 0.2]
+    numbers += [rng.uniform(-1, 1) * 10 ** rng.randrange(-30, 30) for _ in range(300)]
+    export_csv(spark.createDataFrame([(i, x) for i, x in enumerate(numbers)], "i int, x double"), str(tmp_path / "out"))
+    got = {}
+    for part in (tmp_path / "out").glob("part-*.csv"):
+        for row in csv.DictReader(part.open()):
+            assert "E" not in row["x"] and "e" not in row["x"]
+            got[int(row["i"])] = float(row["x"])
+    assert all(got[i] == x and math.copysign(1, got[i]) == math.copysign(1, x) for i, x in enumerate(numbers))
+
+
+def test_calendar_covers_orders_outside_its_span(spark, raw):
+    from ledgerloom.plans import dates
+    from ledgerloom.plans.build import Models
+
+    models = Models(raw(order("1", created_at="2018-03-05 10:00:00"), order("2", created_at="2032-02-01 00:00:00")), "2024-01-01")
+    days = models.dim_dates.agg({"date_day": "min"}).collect()[0][0], models.dim_dates.agg({"date_day": "max"}).collect()[0][0]
+    assert [str(d) for d in days] == ["2018-03-05", "2032-02-01"]
+    months = {r.year_month: r.revenue for r in dates.revenue_per_month(models.dim_dates, models.fct_orders).collect()}
+    assert months["2018-03"] == 50.0 and months["2032-02"] == 50.0 and months["2025-07"] == 0.0
+
+
+def test_a_range_of_dates_reads_its_months_only(spark, raw):
+    from ledgerloom.plans import marts
+    from ledgerloom.plans.build import build
+
+    rows = [order(str(i), created_at=f"2024-{i:02d}-15 10:00:00") for i in range(1, 10)]
+    models = build(spark, raw(*rows), "bymonth", "2024-12-01")
+    late = marts.ordered_since(models.fct_orders, "2024-08-10")
+    assert sorted(r.order_id for r in late.collect()) == ["8", "9"]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "order_month" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.windows import row_number, with_group_metrics
 
 
 def rank_versions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, hot: Sequence[Row] = ()
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Number the versions of every key, 1 being the one to keep; all rows stay.
 
-    ``hot`` lists the keys with more versions than one task should sort.
+    ``hot`` has the keys with more versions than one task should sort.
     """
     return with_group_metrics(df, keys, order, [row_number(name)], hot)
 

@@ -7,7 +7,11 @@ happens to them here. Groups above a row limit take another way with the same re
 2. compute every metric inside its chunk, and write that once;
 3. summarise each (chunk, group) to one row and carry sums, counts and edge values
    from chunk to chunk. There are at most chunks + groups such rows;
-4. join the carried values back, broadcast, and combine.
+4. join the carried values back and combine.
+
+Which groups are hot is a stored table, not a list on the driver: at a size where most
+groups pass the limit it is as long as the data makes it, and it is joined like any
+other table. Only the rows of hot groups are written.
 
 The limit is read from ``ledgerloom.hotGroupRows`` in the session.
 """
@@ -18,7 +22,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.stored import store
@@ -33,8 +37,8 @@ def hot_row_limit(spark: SparkSession) -> int:
 
 def hot_groups(
     df: DataFrame, keys: dict[str, Column], weight: Column | None = None, limit: int | None = None
-) -> list[Row]:
-    """The groups with more than ``limit`` rows (or ``weight``), at most total / limit of them.
+) -> DataFrame | None:
+    """The groups with more than ``limit`` rows (or ``weight``) as a stored table, None if there are none.
 
     ``df`` should be a stored table: this reads the key columns only, and a table that
     is small as a whole is settled by its row count.
@@ -43,10 +47,28 @@ def hot_groups(
     if weight is None:
         weight = F.lit(1)
         if df.count() <= limit:
-            return []
-    size = F.sum(weight)
-    grouped = df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(size.alias("_rows"))
-    return grouped.where(F.col("_rows") > limit).drop("_rows").collect()
+            return None
+    grouped = df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.sum(weight).alias("_rows"))
+    hot = store(grouped.where(F.col("_rows") > limit).drop("_rows"), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def hot_groups_together(
+    df: DataFrame, keys: dict[str, Column], limit: int | None = None
+) -> dict[str, DataFrame | None]:
+    """:func:`hot_groups` for each of several key columns, found in one pass over the table."""
+    limit = hot_row_limit(df.sparkSession) if limit is None else limit
+    if df.count() <= limit:
+        return dict.fromkeys(keys)
+    kinds = df.select(*[c.alias(n) for n, c in keys.items()]).schema
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("_of"), c.cast("string").alias("_key")) for n, c in keys.items()]))
+    grouped = df.select(each.alias("_each")).select("_each.*").groupBy("_of", "_key").agg(F.count("*").alias("_rows"))
+    hot = store(grouped.where(F.col("_rows") > limit).drop("_rows"), "hot")
+    found = {r["_of"] for r in hot.select("_of").distinct().collect()}  # at most the number of keys
+    return {
+        n: hot.where(F.col("_of") == n).select(F.col("_key").cast(kinds[n].dataType).alias(n)) if n in found else None
+        for n in keys
+    }
 
 
 @dataclass(frozen=True)
@@ -194,8 +216,8 @@ def split_window(
         carried.append(out.alias(f"_carry_{m.name}"))
     carry = summary.select(*_marked(["_chunk", *keys]), *carried)
 
-    # at most chunks + number of groups rows, and only groups above the limit come here
-    joined = inside.join(F.broadcast(carry), _same(["_chunk", *keys]), "inner")
+    # at most chunks + number of groups rows
+    joined = inside.join(carry, _same(["_chunk", *keys]), "inner")
 
     columns = [F.col(c) for c in df.columns]
     for m in metrics:
@@ -212,17 +234,14 @@ def split_window(
 
 def with_group_metrics(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], metrics: Sequence[Metric],
-    hot: Sequence[Row] = (),
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add window metrics per group; the groups listed in ``hot`` go through :func:`split_window`."""
+    """Add window metrics per group; the groups in ``hot`` go through :func:`split_window`."""
     plain = _Plain(keys, order)
-    if not hot:
+    if hot is None:
         return df.select("*", *[plain.column(m).alias(m.name) for m in metrics])
-    rows = store(df, "grouped")
-    schema = df.select(*keys).schema
-    # at most total rows / limit entries
-    listed = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in hot], schema).select(*_marked(keys)))
-    rest = rows.join(listed, _same(keys), "left_anti")
+    listed = hot.select(*_marked(keys))
+    rest = df.join(listed, _same(keys), "left_anti")
     rest = rest.select("*", *[plain.column(m).alias(m.name) for m in metrics])
-    large = rows.join(listed, _same(keys), "left_semi")
+    large = df.join(listed, _same(keys), "left_semi")
     return rest.unionByName(split_window(large, keys, order, metrics))

@@ -190,18 +190,16 @@ def order_metrics(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
     raw table finds the groups too large for one task before anything is shuffled.
     """
     made = _cast("created_at", "timestamp")
-    by_customer = {"customer_id": order_columns()["customer_id"]}
-    hot_customers = win.hot_groups(raw, by_customer, limit=hot_rows)
-    hot_days = win.hot_groups(raw, {"_day": F.to_date(made)}, limit=hot_rows)
+    hot = win.hot_groups_together(raw, {"customer_id": order_columns()["customer_id"], "_day": F.to_date(made)}, hot_rows)
 
     narrow = real_orders(latest_orders(raw)).select(
         "order_id", "customer_id", "order_created_at", "total_amount"
     )
     known = win.with_group_metrics(
-        narrow, ["customer_id"], in_time(), CUSTOMER_METRICS, hot_customers
+        narrow, ["customer_id"], in_time(), CUSTOMER_METRICS, hot["customer_id"]
     ).withColumn("_day", F.to_date("order_created_at"))
     daily = win.with_group_metrics(
-        known, ["_day"], in_time(), [win.row_number("daily_order_sequence")], hot_days
+        known, ["_day"], in_time(), [win.row_number("daily_order_sequence")], hot["_day"]
     )
     return daily.select(
         "order_id",
@@ -241,7 +239,7 @@ def stg_line_items(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
     hot = win.hot_groups(raw, {"order_id": _cast("id", "string")}, line_count, hot_rows)
     lines = typed_lines(raw)
     key = ["order_id", "line_item_id"]
-    if not hot:
+    if hot is None:
         lines = lines.repartition("order_id")
     lines = latest_per_key(lines, key, line_recency())
     lines = win.with_group_metrics(

@@ -37,7 +37,7 @@ def plain(df, keys, order):
 def test_hot_groups_take_the_other_way_to_the_same_result(skewed, limit):
     order = [F.col("t").desc(), F.col("id").asc()]
     hot = win.hot_groups(skewed, {"k": F.col("k")}, limit=limit)
-    assert hot and (limit < 250 or {r.k for r in hot} == {None, "hot"})
+    assert limit < 250 or {r.k for r in hot.collect()} == {None, "hot"}
     split = win.with_group_metrics(skewed, ["k"], order, METRICS, hot)
     want = plain(skewed, ["k"], order)
     assert split.columns == want.columns
@@ -45,20 +45,20 @@ def test_hot_groups_take_the_other_way_to_the_same_result(skewed, limit):
 
 
 def test_small_tables_are_never_split(skewed):
-    assert win.hot_groups(skewed, {"k": F.col("k")}, limit=900) == []
+    assert win.hot_groups(skewed, {"k": F.col("k")}, limit=900) is None
 
 
 def test_limit_is_a_session_setting(spark, skewed):
     spark.conf.set(win.HOT_ROWS_SETTING, "299")
     try:
-        assert len(win.hot_groups(skewed, {"k": F.col("k")})) == 2
+        assert win.hot_groups(skewed, {"k": F.col("k")}).count() == 2
     finally:
         spark.conf.unset(win.HOT_ROWS_SETTING)
 
 
 def test_weights_count_as_rows(spark):
     df = spark.createDataFrame([("a", 3), ("b", 9), ("a", 3)], "k string, w int")
-    assert [r.k for r in win.hot_groups(df, {"k": F.col("k")}, F.col("w"), 6)] == ["b"]
+    assert [r.k for r in win.hot_groups(df, {"k": F.col("k")}, F.col("w"), 6).collect()] == ["b"]
 
 
 def test_one_global_group(skewed):
@@ -123,3 +123,12 @@ def test_any_group_may_be_split(spark, rows, chunks):
     order = [F.col("t").asc(), F.col("id").desc()]
     split = win.split_window(df, ["k"], order, METRICS, chunks=chunks)
     assert sorted(map(str, split.collect())) == sorted(map(str, plain(df, ["k"], order).collect()))
+
+
+def test_hot_groups_of_several_keys_in_one_pass(spark):
+    df = spark.range(300).selectExpr("IF(id % 3 = 0, NULL, concat('k', id % 100)) AS k", "date_add(date'2024-01-01', int(id % 4)) AS d")
+    found = win.hot_groups_together(df, {"k": F.col("k"), "d": F.col("d")}, limit=60)
+    assert [r.k for r in found["k"].collect()] == [None] and found["d"].count() == 4
+    assert found["d"].schema["d"].dataType == df.schema["d"].dataType
+    assert win.hot_groups_together(df, {"k": F.col("k"), "d": F.col("d")}, limit=80)["d"] is None
+    assert win.hot_groups_together(df, {"k": F.col("k")}, limit=300) == {"k": None}

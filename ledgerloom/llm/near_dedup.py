@@ -8,10 +8,16 @@ probability that is their similarity, and the cost of a signature doesn't depend
 
 Coordinates are taken in bands of ``ROWS``; texts that agree in a band are candidates. With 36 bands of 6, a pair of
 similarity 0.8 is missed with a probability of 2e-5. Texts with the same elements are one node. In a band's bucket,
-nodes are compared with one leader, in ``STARS`` rounds with other leaders; then every pair of a bucket that the links
-found so far don't connect is compared, unless their sketches (a bit per coordinate) agree so seldom that a
-similarity of 0.8 is five standard deviations away. So a link between two classes isn't lost, and a bucket of any size
-gives as many candidates as it has nodes, plus what stays unconnected. Candidates are verified on all their elements.
+nodes are compared with one leader, in ``STARS`` rounds with other leaders. Then whatever a bucket has that the links
+found so far don't connect is compared as well, so that no link between two classes is lost:
+
+* In buckets of up to ``SMALL`` nodes pair by pair, unless their sketches (a bit per coordinate) agree so seldom that a
+  similarity of 0.8 is five standard deviations away.
+* Larger buckets that share nodes form a cluster. Its nodes outside the largest class found so far meet all its nodes
+  in blocks of ``BLOCK``; a block counts shared elements as a product of two matrices, and gives one link for each
+  node and class that it finds alike.
+
+So a group of copies of any size gives as many candidates as it has nodes. All are verified on all their elements.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.blocks import clusters, in_blocks, main_comp
 from ledgerloom.llm.common import slices, texts_of
 from ledgerloom.llm.components import components
 from ledgerloom.llm.exact_dedup import staying
@@ -32,6 +39,9 @@ from ledgerloom.operators.stored import store
 
 BANDS, ROWS = 36, 6
 STARS = 3
+SMALL, BLOCK = 64, 256
+#: Elements that one matrix product of a block takes at once.
+COLUMNS = 8192
 #: Ranks [0, FIRST_RANK) are the first area; each further one is as long as all before it.
 FIRST_RANK = 1 / 16
 #: Ids of rows to be read again are broadcast up to so many (some 60 bytes each), and joined by a shuffle beyond.
@@ -206,20 +216,65 @@ def near_links(docs: DataFrame, nodes: DataFrame, repeated: bool, id_col: str, t
         new = done.filter(F.col("similarity") >= least).select("a", "b")
         links = new if links is None else links.unionByName(new)
         comps = components(links)
-    # what is still apart: all pairs of a bucket with one side outside the largest share, if their sketches allow it
     here = with_comp(buckets, comps)
-    counts = here.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1").select("key", F.col("top.comp").alias("main"))
-    sketches = nodes.select("node", "sketch")
-    apart = store(here.join(main, "key").join(sketches, "node"), "apart")
-    pairs = apart.filter("comp <> main").alias("x").join(apart.alias("y"), (
+    sizes = here.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key", "n")
+    apart = store(here.join(sizes, "key"), "apart")
+    done = verified(small_pairs(apart.filter(F.col("n") <= SMALL), nodes, least).join(tested, ["a", "b"], "left_anti"), elements)
+    links = links.unionByName(done.filter(F.col("similarity") >= least).select("a", "b"))
+    large = apart.filter(F.col("n") > SMALL)
+    return links if large.isEmpty() else links.unionByName(large_links(large, elements, least))
+
+
+def small_pairs(apart: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of unlike components in a bucket whose sketches allow a link."""
+    held = apart.join(main_comp(apart, "key"), "key").join(nodes.select("node", "sketch"), "node")
+    return held.filter("comp <> main").alias("x").join(held.alias("y"), (
         (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
         & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
         & (unlike(F.col("x.sketch"), F.col("y.sketch")) <= unlike_most(least))
     )).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    done = verified(pairs, elements)
-    return links.unionByName(done.filter(F.col("similarity") >= least).select("a", "b"))
+
+
+def large_links(apart: DataFrame, elements: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between unlike components of clusters of large buckets."""
+
+    def compare(x: pa.Table, y: pa.Table) -> pa.Table:
+        nodes_x, nodes_y = (t.column("node").to_numpy() for t in (x, y))
+        comp_x, comp_y = (t.column("comp").to_numpy() for t in (x, y))
+        alike = np.argwhere((similarities(x, y) >= least) & (comp_x[:, None] != comp_y[None, :]))
+        # one link for each node and component
+        _, once = np.unique(np.stack([nodes_x[alike[:, 0]], comp_y[alike[:, 1]]]), axis=1, return_index=True)
+        a, b = nodes_x[alike[once, 0]], nodes_y[alike[once, 1]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return in_blocks(clusters(apart).join(elements, "node"), BLOCK, compare, "a long, b long")
+
+
+def similarities(x: pa.Table, y: pa.Table) -> np.ndarray:
+    """Weighted Jaccard similarities of all rows of two tables of cells, exactly."""
+    cells_x, sizes_x = flat(x)
+    cells_y, sizes_y = flat(y)
+    shared = np.intersect1d(cells_x, cells_y)
+    found = np.zeros((x.num_rows, y.num_rows), np.float32)
+    for begin in range(0, len(shared), COLUMNS):
+        part = shared[begin:begin + COLUMNS]
+        found += holds(cells_x, sizes_x, part) @ holds(cells_y, sizes_y, part).T
+    return found / np.maximum(sizes_x[:, None] + sizes_y[None, :] - found, 1)
+
+
+def flat(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    column = t.column("cells").combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
+
+
+def holds(cell: np.ndarray, sizes: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """1 where a row has a cell of the sorted ``part``."""
+    out = np.zeros((len(sizes), len(part)), np.float32)
+    at = np.searchsorted(part, cell)
+    hit = part[np.minimum(at, len(part) - 1)] == cell
+    out[np.repeat(np.arange(len(sizes)), sizes)[hit], at[hit]] = 1
+    return out
 
 
 def with_comp(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:

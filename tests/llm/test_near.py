@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import prose
 
@@ -102,6 +103,24 @@ def test_signatures_do_not_depend_on_the_batch():
     assert not whole[-1].any() and whole[:-1].all()
 
 
+def test_large_buckets_are_compared_in_blocks(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    monkeypatch.setattr(near_dedup, "STARS", 1)
+    rows = table(6)
+    assert found(near_dedup.near_groups(docs(*rows).repartition(3)).collect()) == classes(rows)
+
+
+def test_similarities_are_exact():
+    texts = [prose(k % 3, 80) + " " + prose(50 + k, 5 * k) for k in range(12)] + ["w " * 40, "w " * 60]
+    cell, bounds = near_dedup.cells_of(texts)
+    t = pa.table({"cells": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(cell.view(np.int64)))})
+    got = near_dedup.similarities(t.slice(0, 6), t.slice(3))
+    for i in range(6):
+        for j in range(11):
+            assert abs(got[i, j] - weighted(bag(texts[i]), bag(texts[3 + j]))) < 1e-6
+
+
 def test_with_shuffle_joins(docs, monkeypatch):
     monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", 0)
     rows = table(4)[:60]

@@ -58,7 +58,7 @@ def poisson_steps(mean: float) -> np.ndarray:
     return np.array(out)
 
 
-def dart_signatures(cell: np.ndarray, bounds: np.ndarray, k: int, darts: int = 1 << 20) -> np.ndarray:
+def dart_signatures(cell: np.ndarray, bounds: np.ndarray, k: int, darts: int = 1 << 19) -> np.ndarray:
     """The earliest dart of each of ``k`` coordinates, a row per text; texts without cells keep zeros.
 
     ``cell``: unit cells of weight, text after text; ``darts`` bounds how many are held at once.
@@ -175,8 +175,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = store(
         some.join(firsts.select(F.col("node").alias("row")).distinct(), "row", "left_semi").select(F.col("row").alias("node"), "id", "sha", "bands", "sketch"), "nodes")
     repeated = not some.groupBy("id", "sha").count().filter("count > 1").isEmpty()
-    links = near_links(docs, nodes, repeated, id_col, text_col, least)
-    comps = components(links)
+    comps = near_components(docs, nodes, repeated, id_col, text_col, least)
     of_node = rows.select("id", "row", "sha", "print", part).join(firsts, ["print", "part"], "left")
     classed = of_node.join(comps, "node", "left").select(
         "id", "row", "sha", F.coalesce("comp", "node", -F.col("row") - 1).alias("class"))
@@ -195,14 +194,13 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return staying(docs, near_groups(docs, id_col, text_col, least), id_col, text_col)
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, repeated: bool, id_col: str, text_col: str, least: float) -> DataFrame:
-    """Verified links (a, b) that connect every class."""
+def near_components(docs: DataFrame, nodes: DataFrame, repeated: bool, id_col: str, text_col: str, least: float) -> DataFrame:
+    """Components (node, comp) of the nodes that verified links connect."""
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     buckets = store(banded.join(shared, "key"), "buckets")
     elements = elements_of(docs, nodes, buckets, repeated, id_col, text_col)
-    links = tested = None
-    comps = None
+    tested = comps = None
     for star in range(STARS):
         here = with_comp(buckets, comps)
         lead = F.min(F.struct((F.xxhash64("node", F.lit(star)) if star else F.col("node")).alias("rank"), "node", "comp")).alias("lead")
@@ -213,16 +211,14 @@ def near_links(docs: DataFrame, nodes: DataFrame, repeated: bool, id_col: str, t
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         done = verified(pairs, elements)
         tested = done.select("a", "b") if tested is None else tested.unionByName(done.select("a", "b"))
-        new = done.filter(F.col("similarity") >= least).select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        comps = components(links)
+        comps = components(done.filter(F.col("similarity") >= least), known=comps)
     here = with_comp(buckets, comps)
     sizes = here.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key", "n")
     apart = store(here.join(sizes, "key"), "apart")
     done = verified(small_pairs(apart.filter(F.col("n") <= SMALL), nodes, least).join(tested, ["a", "b"], "left_anti"), elements)
-    links = links.unionByName(done.filter(F.col("similarity") >= least).select("a", "b"))
+    comps = components(done.filter(F.col("similarity") >= least), known=comps)
     large = apart.filter(F.col("n") > SMALL)
-    return links if large.isEmpty() else links.unionByName(large_links(large, elements, least))
+    return comps if large.isEmpty() else components(large_links(large, elements, least), known=comps)
 
 
 def small_pairs(apart: DataFrame, nodes: DataFrame, least: float) -> DataFrame:

@@ -142,3 +142,6 @@ def test_components_of_chains_and_stars(spark):
     order = rng.permutation(len(edges))
     got = {r.node: r.comp for r in components(spark.createDataFrame([edges[i] for i in order], "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {100 + k: 100 for k in range(40)} | {200: 200, 201: 200}
+    first = components(spark.createDataFrame(edges[::2], "a long, b long"))
+    added = components(spark.createDataFrame(edges[1::2], "x long, y long"), "x", "y", first)
+    assert {r.node: r.comp for r in added.filter("node <> 300").collect()} == got

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import plain
 from ledgerloom.operators.stored import store
 
+#: Rows that leave are broadcast up to so many (some 60 bytes each), and joined by a shuffle beyond.
+BROADCAST_ROWS = 400_000
 #: What must agree for two texts to count as equal.
 DIGEST = ["_sha", "_chars", "_second"]
 
@@ -78,19 +80,23 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def staying(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``decided`` (id, text_sha256, kept) keeps.
 
-    A decision reaches its row by id and digest. Where rows repeat both, one of them stays.
+    A decision reaches its row by id and digest. Where rows repeat both, one of them stays. It is the rows that go
+    that are joined, as they are fewer; up to ``BROADCAST_ROWS`` of them the texts stay where they are.
     """
     decided = store(decided.select(F.col(id_col).alias("_id"), F.unhex("text_sha256").alias("_sha"), "kept"), "decided")
-    stays = decided.filter("kept").select("_id", "_sha")
-    again = store(decided.groupBy("_id", "_sha").count().filter("count > 1").select("_id", "_sha"), "again")
+    each = decided.groupBy("_id", "_sha").agg(F.count(F.lit(1)).alias("_rows"), F.max("kept").alias("_some"))
+    leaving = store(each.filter("_rows > 1 OR NOT _some"), "leaving")
+    again = leaving.filter("_rows > 1 AND _some").select("_id", "_sha")
+    leaving = leaving.select("_id", "_sha")
+    if leaving.count() <= BROADCAST_ROWS:
+        leaving = F.broadcast(leaving)
     names, held = docs.columns, plain(docs)
     id_of, text_of = F.col(held.columns[names.index(id_col)]), F.col(held.columns[names.index(text_col)])
     keyed = held.withColumns({"_of_id": id_of, "_of_sha": F.unhex(F.sha2(F.coalesce(text_of, F.lit("")), 256))})
     same = F.col("_of_id").eqNullSafe(F.col("_id")) & (F.col("_of_sha") == F.col("_sha"))
-    kept = keyed.join(stays, same, "left_semi")
+    once = keyed.join(leaving, same, "left_anti").select(*held.columns)
     if again.isEmpty():
-        return kept.select(*held.columns).toDF(*names)
-    once = kept.join(again, same, "left_anti").select(*held.columns)
+        return once.toDF(*names)
     row = F.first(F.struct(*held.columns)).alias("_row")
-    one = kept.join(again, same, "left_semi").groupBy("_of_id", "_of_sha").agg(row).select("_row.*")
+    one = keyed.join(again, same, "left_semi").groupBy("_of_id", "_of_sha").agg(row).select("_row.*")
     return once.unionByName(one).toDF(*names)

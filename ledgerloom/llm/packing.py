@@ -161,7 +161,7 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_co
         seen: dict[int, int] = defaultdict(int)
         full = 0
         for batch in batches:
-            for part in slices(batch, "text", 1 << 22):
+            for part in slices(batch, "text", 1 << 21):
                 ids = words.encode(texts_of(part, "text"), end_id)
                 n = np.array([len(x) // 2 for x in ids])
                 ranks, before = [], []
@@ -174,6 +174,7 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_co
                     [part.column("id"), pa.array(ids, pa.binary()), pa.array(n, pa.int64()), pa.array(n % capacity, pa.int32()),
                      pa.array([task] * len(n), pa.int32()), pa.array(ranks, pa.int64()), pa.array(before, pa.int64())],
                     names=["id", "ids", "n", "rest", "task", "rank", "full"])
+        words.forget()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

@@ -23,7 +23,7 @@ from ledgerloom.llm.common import map_texts
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words that one Python worker remembers, and the longest of them in characters.
-CACHED_WORDS, CACHED_CHARS = 1_000_000, 64
+CACHED_WORDS, CACHED_CHARS = 300_000, 64
 
 
 def pieces_of(path: str) -> list[tuple[str, float]]:

@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that one Python worker remembers; beyond that it starts anew.
-CACHED_WORDS = 1_000_000
+#: Words that a task remembers; beyond that it starts anew.
+CACHED_WORDS = 250_000
 #: Precomposed Latin letters, which normalisation leaves as they are, and marks that no pattern treats alike.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
@@ -44,11 +44,16 @@ class WordTokens:
 
     @classmethod
     def of(cls, path: str) -> WordTokens:
-        """One for each file and worker, so that later tasks find the words of earlier ones."""
+        """One for each file and Python worker."""
         if path not in cls.held:
             cls.held[path] = cls(path)
         return cls.held[path]
 
+    def forget(self) -> None:
+        """Give the words' memory back; a worker that waits for its next task needs none."""
+        self.words.clear()
+        self.parts.clear()
+
     def part(self, text: str) -> bytes:
         """Ids of a run of letters, or of marks, that the tokenizer takes as one."""
         found = self.parts.get(text)
@@ -77,8 +82,7 @@ class WordTokens:
         distinct = found.dictionary.to_pylist()
         missing = [w for w in distinct if w not in self.words]
         if len(self.words) + len(missing) > CACHED_WORDS:
-            self.words.clear()
-            self.parts.clear()
+            self.forget()
             missing = distinct
         self.learn(missing)
         ids = [self.words[w] for w in distinct]

@@ -132,8 +132,8 @@ def regress(index: np.ndarray, lengths: np.ndarray, y: np.ndarray, scale: np.nda
     """Logistic regression on sparse 0/1 features scaled by ``scale``; both classes weigh the same. Accelerated
     gradient steps, the step from a bound on the curvature found by power iteration."""
     n, m = len(y), len(scale)
-    row = np.repeat(np.arange(n), lengths)
-    value = scale[index]
+    row = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    value = scale.astype(np.float32)[index]
     each = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max(n - y.sum(), 1))
 
     def forward(w: np.ndarray) -> np.ndarray:

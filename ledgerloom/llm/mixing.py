@@ -6,10 +6,10 @@ its quota from the patterns it is part of. The flow of least cost says how many
 Patterns and sources are few and their sums are all that reaches the driver; the graph falls apart into components,
 which are solved one by one.
 
-A pattern's documents are taken as often as its flow covers them whole, and once more in seeded order until the rest
-of the flow is met. The place where the order stops is found by sums over ranges of the seeded hash, narrowed twice,
-so that no task sees more than a small share of a pattern; what then is missing, less than one document, is filled
-with the largest documents that fit.
+A pattern's documents are taken as often as its flow covers them whole, and once more in seeded order, each one that
+still fits in the rest of the flow. The place where the next one doesn't fit is found by sums over ranges of the seeded
+hash, narrowed twice, so that no task sees more than a small share of a pattern; the order goes on behind it with the
+documents that fit in what is missing, until none is left that does.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from ledgerloom.operators.stored import store
 
 #: Ranges of the seeded hash at each of two levels.
 BITS = 12
-#: Documents that may fill what is missing in a pattern, one after the other.
-FILLERS = 6
+
+
+#: What of a pattern is taken once more: behind one place of the seeded order up to another, documents of a size at most.
+TAKEN = "array<struct<after_draw:long,after_row:long,draw:long,row:long,most:long>>"
 
 
 def water_fill(weights: dict, sizes: dict, total: float, most: float) -> dict:
@@ -143,7 +145,8 @@ def mix(docs: DataFrame, size: Column, sources: Column, carry: list[str], weight
     ``total_share`` of all sizes; no target is above ``most`` times its source's size. ``source_size`` and
     ``target`` are those of the first of a row's sources. A carried column may have any name; one named like a result
     stands before it, and both are there. Rows that repeat an id are documents of their own. A row
-    of size 0 is taken as often as its pattern is whole. An empty table gives an empty result.
+    of size 0 is taken as often as its pattern is whole, and once more where the order comes by. An empty table gives an
+    empty result.
     """
     taken, held = _mix(docs, size, sources, carry, weights, total_share, most, seed, id_col)
     results = ("sources", "size", "source_size", "target", "copies")
@@ -175,59 +178,60 @@ def _mix(docs: DataFrame, size: Column, sources: Column, carry: list[str], weigh
     state = {}
     for p, n in capacity.items():
         whole = min(flow[p] // n, most) if n else 0
-        state[p] = {"whole": whole, "rest": flow[p] - whole * n, "below": 0, "range": -1}
-
-    def states(*keys: str) -> DataFrame:
-        kinds = ", ".join(f"{k} long" for k in keys)
-        made = spark.createDataFrame([(list(p), *[int(x[k]) for k in keys]) for p, x in state.items()], f"_sources array<string>, {kinds}")
-        return F.broadcast(made)  # a row per pattern
-
-    def with_state(df: DataFrame, *keys: str) -> DataFrame:
-        held = states(*keys).withColumnRenamed("_sources", "_pattern")
-        return df.join(held, F.col("_sources").eqNullSafe(F.col("_pattern"))).drop("_pattern")
-
-    # draws are below 2 ** 56: narrow the place where the order stops to a range of 2 ** (56 - BITS), then of 2 ** (56 - 2 * BITS)
-    for level in (1, 2):
-        here = with_state(rows, "rest", "below", "range").filter("rest > 0")
-        if level > 1:
-            here = here.filter(F.shiftrightunsigned("_draw", 56 - BITS * (level - 1)) == F.col("range"))
-        part = F.shiftrightunsigned("_draw", 56 - BITS * level)
-        up_to = Window.partitionBy("_sources").orderBy("_part")
-        cut = (
-            here.withColumn("_part", part).groupBy("_sources", "_part", "rest", "below").agg(F.sum("_size").alias("n"))
-            .withColumn("upto", F.col("below") + F.sum("n").over(up_to)).filter("upto > rest")
-            .groupBy("_sources").agg(F.min(F.struct("_part", (F.col("upto") - F.col("n")).alias("before"))).alias("at"))
-        )
-        for r in cut.collect():
-            state[tuple(r["_sources"])] |= {"range": r["at"]["_part"], "below": r["at"]["before"]}
-    shift = 56 - 2 * BITS
-    last = with_state(rows, "rest", "below", "range").filter(F.shiftrightunsigned("_draw", shift) == F.col("range"))
-    in_order = Window.partitionBy("_sources").orderBy("_draw", "_row")
-    fits = last.withColumn("upto", F.col("below") + F.sum("_size").over(in_order)).filter("upto <= rest")
-    ends = fits.groupBy("_sources").agg(F.max(F.struct("_draw", "_row", "upto")).alias("at")).collect()
+        state[p] = {"whole": whole, "gap": flow[p] - whole * n, "draw": -1, "row": -1}
+
+    def with_state(df: DataFrame, of: dict, *keys: str) -> DataFrame:
+        kinds = ", ".join(f"{k} {TAKEN if k == 'taken' else 'long'}" for k in keys)
+        made = spark.createDataFrame([(list(p), *[x[k] for k in keys]) for p, x in of.items()], f"_pattern array<string>, {kinds}")
+        # a row per pattern
+        return df.join(F.broadcast(made), F.col("_sources").eqNullSafe(F.col("_pattern"))).drop("_pattern")
+
+    # a round takes, behind the place (draw, row), documents of at most the gap up to the first that doesn't fit any more
+    place = F.struct("_draw", "_row")
     for x in state.values():
-        x |= {"draw": x["range"] << shift if x["range"] >= 0 else (1 << 56 if x["rest"] else -1), "row": -1, "gap": x["rest"] - x["below"] if x["range"] >= 0 else 0}
-    for r in ends:
-        x, at = state[tuple(r["_sources"])], r["at"]
-        x |= {"draw": at["_draw"], "row": at["_row"], "gap": x["rest"] - at["upto"]}
-    in_prefix = (F.col("_draw") < F.col("draw")) | ((F.col("_draw") == F.col("draw")) & (F.col("_row") <= F.col("row")))
-
-    picked: list[int] = []
-    for _ in range(FILLERS):
-        if not any(x["gap"] > 0 for x in state.values()):
-            break
-        fit = with_state(rows.select("_sources", "_size", "_draw", "_row"), "draw", "row", "gap").filter((F.col("_size") > 0) & (F.col("_size") <= F.col("gap")) & ~in_prefix)
-        if picked:
-            fit = fit.filter(~F.col("_row").isin(picked))
-        found = fit.groupBy("_sources").agg(F.max(F.struct("_size", (-F.col("_draw")).alias("late"), "_row")).alias("at")).collect()
-        for r in found:
-            picked.append(r["at"]["_row"])
-            state[tuple(r["_sources"])]["gap"] -= r["at"]["_size"]
-        if not found:
+        x["taken"] = []
+    going = {p: x for p, x in state.items() if x["gap"] > 0}
+    while going:
+        for x in going.values():
+            x |= {"below": 0, "range": -1}
+        fit = rows.select("_sources", "_size", "_draw", "_row")
+        # draws are below 2 ** 56: narrow the place to a range of 2 ** (56 - BITS), then of 2 ** (56 - 2 * BITS)
+        for level in (1, 2):
+            here = with_state(fit, going, "gap", "draw", "row", "below", "range").filter((F.col("_size") <= F.col("gap")) & (place > F.struct("draw", "row")))
+            if level > 1:
+                here = here.filter(F.shiftrightunsigned("_draw", 56 - BITS * (level - 1)) == F.col("range"))
+            part = F.shiftrightunsigned("_draw", 56 - BITS * level)
+            up_to = Window.partitionBy("_sources").orderBy("_part")
+            cut = (
+                here.withColumn("_part", part).groupBy("_sources", "_part", "gap", "below").agg(F.sum("_size").alias("n"))
+                .withColumn("upto", F.col("below") + F.sum("n").over(up_to)).filter("upto > gap")
+                .groupBy("_sources").agg(F.min(F.struct("_part", (F.col("upto") - F.col("n")).alias("before"))).alias("at"))
+            )
+            for r in cut.collect():
+                going[tuple(r["_sources"])] |= {"range": r["at"]["_part"], "below": r["at"]["before"]}
+            # without a range all that is left fits
+            for x in [x for x in going.values() if x["range"] < 0]:
+                x["taken"].append((x["draw"], x["row"], 1 << 56, -1, x["gap"]))
+            going = {p: x for p, x in going.items() if x["range"] >= 0}
+            if not going:
+                break
+        if not going:
             break
-
-    result = with_state(rows, "whole", "draw", "row")
-    once_more = in_prefix | F.col("_row").isin(picked) if picked else in_prefix
+        shift = 56 - 2 * BITS
+        last = with_state(fit, going, "gap", "draw", "row", "below", "range").filter(
+            (F.col("_size") <= F.col("gap")) & (place > F.struct("draw", "row")) & (F.shiftrightunsigned("_draw", shift) == F.col("range")))
+        in_order = Window.partitionBy("_sources").orderBy("_draw", "_row")
+        fits = last.withColumn("upto", F.col("below") + F.sum("_size").over(in_order)).filter("upto <= gap")
+        ends = {tuple(r["_sources"]): r["at"] for r in fits.groupBy("_sources").agg(F.max(F.struct("_draw", "_row", "upto")).alias("at")).collect()}
+        for p, x in going.items():
+            draw, row, upto = ends.get(p, (x["range"] << shift, -1, x["below"]))
+            x["taken"].append((x["draw"], x["row"], draw, row, x["gap"]))
+            x |= {"draw": draw, "row": row, "gap": x["gap"] - upto}
+        going = {p: x for p, x in going.items() if x["gap"] > 0}
+
+    result = with_state(rows, state, "whole", "taken")
+    once_more = F.exists("taken", lambda t: (
+        (F.col("_size") <= t["most"]) & (place > F.struct(t["after_draw"], t["after_row"])) & (place <= F.struct(t["draw"], t["row"]))))
     wanted = F.broadcast(spark.createDataFrame([(s, source_size[s], float(target[s])) for s in order], "_first string, _source_size long, _target double"))
     copies = F.col("whole") + F.when(once_more & (F.col("whole") < most), 1).otherwise(0)
     mixed = result.withColumns({"_first": F.element_at("_sources", 1), "_copies": copies.cast("long")})

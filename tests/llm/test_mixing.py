@@ -92,6 +92,28 @@ def test_repeats_only_when_fresh_documents_are_used_up(rows):
         assert max(own) - min(own) <= 1
 
 
+def test_a_long_document_does_not_end_the_order(spark):
+    # 60,000 to take, once each: whenever the long one doesn't fit, hundreds of short ones still do
+    made = spark.createDataFrame([(i, "a", 20_000 if i == 0 else 100) for i in range(1001)], "doc_id long, source string, n long")
+    for seed in range(3):
+        got = mixing.mix(made, F.col("n"), F.array("source"), carry=["doc_id", "source"], total_share=0.5, seed=seed).collect()
+        assert sum(r["size"] * r.copies for r in got) == 60_000, seed
+    # by the definition: along the seeded order, each document that fits
+    sizes = [(i, "a" if i % 2 else "b", 1 + i * i * 7919 % 977 + (3000 if i % 50 == 0 else 0)) for i in range(400)]
+    made = spark.createDataFrame(sizes, "doc_id long, source string, n long")
+    order = made.select("doc_id", F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col("doc_id").cast("string")), 8).alias("draw")).orderBy("draw").collect()
+    got = mixing.mix(made, F.col("n"), F.array("source"), carry=["doc_id", "source"], total_share=0.4).collect()
+    copies, size = {r.doc_id: r.copies for r in got}, {r.doc_id: r["size"] for r in got}
+    for s in "ab":
+        gap = int(next(r.target for r in got if r.source == s) + 1e-6)
+        own = [r.doc_id for r in order if r.doc_id in copies and ("a" if r.doc_id % 2 else "b") == s]
+        assert gap < sum(size[i] for i in own)
+        for i in own:
+            fits = size[i] <= gap
+            gap -= size[i] * fits
+            assert copies[i] == fits
+
+
 def test_overlapping_sources(spark):
     made = spark.createDataFrame([(i, ["a", "b"] if i % 3 == 0 else ["b"] if i % 3 == 1 else None, 10) for i in range(300)], "doc_id long, of array<string>, n long")
     got = mixing.mix(made, F.col("n"), F.col("of"), carry=["doc_id", "of"], weights=(1,)).collect()

@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, exact_dedup, langid, mixing, near_dedup, packing, passages, quality, token_counts, toxicity
-from ledgerloom.llm.common import fold, table, word_count
+from ledgerloom.llm import chat, exact_dedup, langid, mixing, near_dedup, packing, passages, pieces, prefix_trie, quality
+from ledgerloom.llm import runs, token_counts, toxicity
+from ledgerloom.llm.common import WORD, fold, table, word_count
+from ledgerloom.operators.windows import hot_groups, row_number, with_group_metrics
 
 #: Vocabulary files of public tokenizers; any file that the library reads may be given to the operators.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -141,3 +143,75 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of fifty words or more that documents share, and the classes that they connect."""
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces by a public BPE model, and what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, UNIGRAM_PIECES).drop("text"), UNIGRAM_PIECES)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by a hash of its id, with words that go on periodically from some place."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
+    docs = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+
+    def planted(words):
+        n = F.size(words)
+        a = (F.col("g") % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+        return F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+
+    # an array of one, so that the words of a text are found once
+    words = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    changed = F.transform(F.filter(words, lambda w: F.size(w) > 0), planted)
+    return docs.select("doc_id", F.when(F.col("h") % 10 == 0, F.get(changed, F.lit(0))).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and what is left without their repeats."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents"))
+    found = runs.with_runs(docs).drop("text")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def shared_turns(conv):
+    """How many first turns a conversation takes from that whose id is the next lower multiple of five."""
+    return F.crc32(conv.cast("string").cast("binary")) % 9
+
+
+def rebuilt_conversations(turns: DataFrame) -> DataFrame:
+    """The turns of all conversations after each has taken its first ones from another; ``place`` orders them."""
+    turns = turns.filter("conv_id IS NOT NULL").select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    order = [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")]
+    placed = with_group_metrics(turns, ["conv_id"], order, [row_number("place")], hot_groups(turns, {"conv_id": F.col("conv_id")}))
+    own = F.when(F.col("place") > shared_turns(F.col("conv_id")), F.array("conv_id")).otherwise(F.array().cast("array<long>"))
+    given = F.when(
+        (F.pmod("conv_id", F.lit(5)) == 0) & (F.col("place") < 9),
+        F.filter(F.sequence("conv_id", F.col("conv_id") + 4), lambda c: F.col("place") <= shared_turns(c))).otherwise(F.array().cast("array<long>"))
+    dealt = placed.select(F.explode(F.concat(own, given)).alias("conv_id"), "place", "role", "text")
+    return dealt.join(turns.select("conv_id").distinct(), "conv_id", "left_semi")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of the conversations' prefixes, once neighbours share their first turns."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(rebuilt_conversations(turns), turns.select("conv_id"), order=["place"])

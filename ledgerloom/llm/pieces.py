@@ -30,9 +30,9 @@ from ledgerloom.llm.common import map_texts, named, plain
 
 MARK = "▁"
 #: Words that a task remembers, and the bytes of the longest of them; beyond that it starts anew.
-CACHED_WORDS, CACHED_BYTES = 250_000, 64
+CACHED_WORDS, CACHED_BYTES = 100_000, 64
 #: Texts of one pass hold about so many bytes; a longer text is a pass of its own.
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 20
 NO_PAIR = np.iinfo(np.int32).max
 PROBES = [
     "", " ", "Hello  world\n\tagain", "   three spaces, a tab\t and ﬁ ① 　x", "naïve café 日本語 \U0001f600 \U00013000",
@@ -295,19 +295,23 @@ class PieceMerges:
         return [data[a:b].decode(errors="ledgerloom.one_by_one") for a, b in zip(begin, end, strict=True)]
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids", end: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids", end: bool = True,
+           decoded: str | None = None) -> DataFrame:
     """``docs`` with the ids of each whole text, and the model's end id behind them if ``end``.
 
+    ``decoded`` names a column for what these ids decode to, made in the same pass.
     A null text counts as empty: it has the end id alone. Other columns are passed on, one named ``out`` is replaced;
     rows are independent of each other, so repeated ones agree, and an empty table stays empty. A word without any
     place to cut (a text of millions of letters, say) is merged as one, round by round.
     """
 
-    def ids(texts: list[str]) -> list[pa.Array]:
-        flat, bounds = PieceMerges.of(model).encode(texts, end)
-        return [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))]
+    def ids(texts: list[str]) -> list:
+        own = PieceMerges.of(model)
+        flat, bounds = own.encode(texts, end)
+        made = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))]
+        return made if decoded is None else [*made, own.decode(flat, bounds)]
 
-    return map_texts(docs, text_col, {out: "array<int>"}, ids, PASS_BYTES)
+    return map_texts(docs, text_col, {out: "array<int>"} | ({} if decoded is None else {decoded: "string"}), ids, PASS_BYTES)
 
 
 def decode(docs: DataFrame, model: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

@@ -149,7 +149,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces by a public BPE model, and what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.decode(pieces.encode(docs, UNIGRAM_PIECES).drop("text"), UNIGRAM_PIECES)
+    coded = pieces.encode(docs, UNIGRAM_PIECES, decoded="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

@@ -292,7 +292,15 @@ class PieceMerges:
         own[own] &= shown[first[own]] < bounds[1:][own]
         begin = begin.copy()
         begin[own] += self.marked[ids[shown[first[own]]]]
-        return [data[a:b].decode(errors="ledgerloom.one_by_one") for a, b in zip(begin, end, strict=True)]
+        # bytes on either side of an invisible id make no character together
+        unseen = np.flatnonzero(n == 0)
+        first_unseen = np.searchsorted(unseen, bounds)
+        texts = []
+        for k, (a, b) in enumerate(zip(begin, end, strict=True)):
+            cuts = total[unseen[first_unseen[k]:first_unseen[k + 1]]]
+            edges = [a, *cuts[(cuts > a) & (cuts < b)], b]
+            texts.append("".join(data[x:y].decode(errors="ledgerloom.one_by_one") for x, y in zip(edges[:-1], edges[1:], strict=True)))
+        return texts
 
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids", end: bool = True,

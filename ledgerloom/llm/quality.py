@@ -196,6 +196,7 @@ def judge(docs: DataFrame, trees: Trees | None, text_col: str = "text") -> DataF
         scores = np.ones(len(texts)) if shared.value is None else 1 / (1 + np.exp(-shared.value.margin(features_of(found))))
         return [*np.ascontiguousarray(found[:, :len(COUNTS)].T), scores]
 
-    rated = map_texts(docs, text_col, dict.fromkeys(COUNTS, "long") | {"quality": "double"}, rate)
+    named_so = ("quality", "base_failed", "kept")
+    rated = map_texts(docs.drop(*named_so), text_col, dict.fromkeys(COUNTS, "long") | {"quality": "double"}, rate)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return rated.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_FROM))

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import prose
+from corpora import prose
 
 from ledgerloom.llm import near_dedup
 from ledgerloom.llm.components import components

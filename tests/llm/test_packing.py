@@ -5,7 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import WORDS, prose
+from corpora import WORDS, prose
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import packing

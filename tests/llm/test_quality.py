@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import prose
+from corpora import prose
 
 from ledgerloom.llm import quality
 

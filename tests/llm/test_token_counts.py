@@ -2,7 +2,7 @@ import random
 
 import public_tokenizers
 import pytest
-from conftest import prose
+from corpora import prose
 from tokenizers import Tokenizer
 from tokenizers.models import Unigram
 from tokenizers.pre_tokenizers import Metaspace

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import prose
+from corpora import prose
 
 from ledgerloom.llm import toxicity
 

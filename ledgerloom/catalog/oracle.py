@@ -696,6 +696,14 @@ for _side in ("first", "last"):
         f"ORDER BY sl.order_created_at, order_id, line_item_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) "
         f"AS {_side}_product FROM sl JOIN so USING (order_id) WHERE customer_id IS NOT NULL)")
 
+# what increments and merges end with is what a rebuild makes of all rows
+SELECTS["incremental_orders"] = SELECTS["fct_orders"]
+SELECTS["incremental_daily_revenue"] = SELECTS["daily_revenue"]
+SELECTS["incremental_customers"] = SELECTS["dim_customers"]
+SELECTS["orders_snapshot"] = SELECTS["orders_scd2"]
+SELECTS["orders_current_state"] = (
+    "order_id payment_status fulfillment_status cancellation_reason total_amount:f valid_from:t=synced_at", "newest")
+
 _PICKED = (
     "dc LEFT JOIN (SELECT customer_id, customer_email AS last_email, order_source AS latest_order_source, "
     "referring_site AS latest_referring_site FROM so QUALIFY row_number() OVER (PARTITION BY customer_id "

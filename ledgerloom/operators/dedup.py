@@ -45,6 +45,23 @@ def upsert_latest(
     return kept.join(came, same, "left_anti").unionByName(latest_per_key(touched, keys, order))
 
 
+def replace_latest(kept: DataFrame, arrived: DataFrame, keys: Sequence[str], recency: Sequence[str]) -> DataFrame:
+    """Fold arrivals into a table that has the latest row per key; the greatest ``recency`` wins, an arrival if equal.
+
+    The kept rows are joined once with the newest arrival of their key, which Spark broadcasts where the arrivals
+    are few: then no kept row is shuffled. A null key is a key like any other.
+    """
+    newest = latest_per_key(arrived, keys, [F.col(c).desc() for c in recency])
+    marked = [F.col(k).alias(f"_new_{k}") for k in keys]
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    joined = kept.join(newest.select(F.struct(*kept.columns).alias("_came"), *marked), same, "left")
+    # structs compare field by field, null being the smallest
+    later = F.struct(*[F.col(f"_came.{c}") for c in recency]) >= F.struct(*recency)
+    row = F.when(F.col("_came").isNotNull() & later, F.col("_came")).otherwise(F.struct(*kept.columns))
+    fresh = newest.join(kept.select(*marked), same, "left_anti")
+    return joined.select(row.alias("_row")).select("_row.*").unionByName(fresh.select(*kept.columns))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Drop exact duplicates only."""
     return df.distinct()

@@ -11,6 +11,24 @@ from ledgerloom.plans.staging import typed_orders
 TRACKED = ("payment_status", "fulfillment_status", "cancellation_reason", "total_amount")
 
 
+ORDER_OF_VERSIONS = ("synced_at", "order_updated_at", "_daton_batch_id")
+
+
+def typed_states(raw: DataFrame, tracked: tuple[str, ...] = TRACKED) -> DataFrame:
+    """Every version of an order, with what places it in time and its state: the tracked columns as one struct."""
+    return typed_orders(raw).select("order_id", *ORDER_OF_VERSIONS, F.struct(*tracked).alias("_state"))
+
+
+def state_spans(versions: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """The versions that open a state, each with the time at which the next state begins as ``valid_to``."""
+    order = [F.col(c).asc() for c in ORDER_OF_VERSIONS]
+    beside = win.with_group_metrics(
+        versions, ["order_id"], order, [win.row_number("_nth"), win.previous("_state", "_before")], hot)
+    changed = beside.where((F.col("_nth") == 1) | ~F.col("_state").eqNullSafe(F.col("_before")))
+    return win.with_group_metrics(
+        changed.drop("_nth", "_before"), ["order_id"], order, [win.following("synced_at", "valid_to")], hot)
+
+
 def order_versions(
     raw: DataFrame, tracked: tuple[str, ...] = TRACKED, hot_rows: int | None = None
 ) -> DataFrame:
@@ -20,19 +38,7 @@ def order_versions(
     end and is current.
     """
     hot = win.hot_groups(raw, {"order_id": F.col("id").cast("string")}, limit=hot_rows)
-    order = [F.col(c).asc() for c in ("synced_at", "order_updated_at", "_daton_batch_id")]
-    versions = typed_orders(raw).select(
-        "order_id", "synced_at", "order_updated_at", "_daton_batch_id",
-        F.struct(*tracked).alias("_state"),
-    )
-    beside = win.with_group_metrics(
-        versions, ["order_id"], order,
-        [win.row_number("_nth"), win.previous("_state", "_before")], hot,
-    )
-    changed = beside.where((F.col("_nth") == 1) | ~F.col("_state").eqNullSafe(F.col("_before")))
-    spans = win.with_group_metrics(
-        changed.drop("_nth", "_before"), ["order_id"], order, [win.following("synced_at", "valid_to")], hot
-    )
+    spans = state_spans(typed_states(raw, tracked), hot)
     return spans.select(
         "order_id", "_state.*", F.col("synced_at").alias("valid_from"), "valid_to",
         F.col("valid_to").isNull().alias("is_current"),

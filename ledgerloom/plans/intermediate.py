@@ -114,18 +114,20 @@ def first_and_last(orders: DataFrame) -> DataFrame:
     )
 
 
-def customer_history(orders: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """One row per known customer with lifetime sums, ages in days and the three segments.
+def customer_base(orders: DataFrame) -> DataFrame:
+    """One row per known customer: lifetime sums, source of the first and email of the last order.
 
     Numbers and text are grouped apart: sums alone stay in a hash aggregate, while text
     in the same aggregate would have every order sorted.
     """
-    summed = summarise_customers(orders, customer_sums()).join(
-        first_and_last(orders), "customer_id", "inner"
-    )
+    return summarise_customers(orders, customer_sums()).join(first_and_last(orders), "customer_id", "inner")
+
+
+def with_age(base: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """What depends on the reporting date, or follows from the sums: ages in days, rates, segments."""
     span = calendar_days("first_order_at", "most_recent_order_at")
     return (
-        summed.withColumns(customer_age(as_of))
+        base.withColumns(customer_age(as_of))
         .withColumns({
             "avg_days_between_orders": divide_or_null(
                 span, F.greatest(F.col("total_orders") - 1, F.lit(1))
@@ -134,3 +136,8 @@ def customer_history(orders: DataFrame, as_of: dt.date | str | None = None) -> D
         })
         .select("*", *customer_labels())
     )
+
+
+def customer_history(orders: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+    """One row per known customer with lifetime sums, ages in days and the three segments."""
+    return with_age(customer_base(orders), as_of)

@@ -141,22 +141,28 @@ def typed_shipments(raw: DataFrame) -> DataFrame:
 
 # The first three decide by time and batch. The rest settle full ties by the very columns
 # that the window metrics use, so that every reading of a tie agrees on them.
+ORDER_RECENCY = (
+    "synced_at", "order_updated_at", "_daton_batch_id",
+    "is_test_order", "order_created_at", "total_amount", "customer_id",
+)
+LINE_RECENCY = ("synced_at", "order_created_at", "_daton_batch_id")
+SHIPMENT_RECENCY = ("fulfillment_updated_at", "synced_at", "_daton_batch_id")
+
+
+def _newest(columns: tuple[str, ...]) -> list[Column]:
+    return [_col(c).desc() for c in columns]
+
+
 def order_recency() -> list[Column]:
-    return [
-        _col(c).desc()
-        for c in (
-            "synced_at", "order_updated_at", "_daton_batch_id",
-            "is_test_order", "order_created_at", "total_amount", "customer_id",
-        )
-    ]
+    return _newest(ORDER_RECENCY)
 
 
 def line_recency() -> list[Column]:
-    return [_col(c).desc() for c in ("synced_at", "order_created_at", "_daton_batch_id")]
+    return _newest(LINE_RECENCY)
 
 
 def shipment_recency() -> list[Column]:
-    return [_col(c).desc() for c in ("fulfillment_updated_at", "synced_at", "_daton_batch_id")]
+    return _newest(SHIPMENT_RECENCY)
 
 
 def latest_orders(raw: DataFrame) -> DataFrame:
@@ -260,6 +266,11 @@ def stg_line_items(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
     )
 
 
+def delivery_flags() -> dict[str, Column]:
+    status = _col("shipment_status")
+    return {"is_delivered": flag(status == "delivered"), "is_in_transit": flag(status == "in_transit")}
+
+
 def stg_fulfillments(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """One row per shipment, with delays, place in the order, carrier and delivery flags."""
     shipment_count = F.coalesce(F.size("fulfillments.status"), F.lit(0))
@@ -270,7 +281,6 @@ def stg_fulfillments(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
         [win.row_number("fulfillment_sequence"), win.group_count("order_fulfillment_count")],
         hot,
     )
-    status = _col("shipment_status")
     return shipments.select(
         *shipment_parents(), *shipment_columns(),
         whole_hours("order_created_at", "fulfilled_at").alias("hours_to_fulfill"),
@@ -278,8 +288,7 @@ def stg_fulfillments(raw: DataFrame, hot_rows: int | None = None) -> DataFrame:
         "fulfillment_sequence", "order_fulfillment_count",
         (_col("order_fulfillment_count") > 1).alias("is_split_shipment"),
         segments.carrier(_col("shipping_carrier")).alias("shipping_carrier_standardized"),
-        flag(status == "delivered").alias("is_delivered"),
-        flag(status == "in_transit").alias("is_in_transit"),
+        *[c.alias(n) for n, c in delivery_flags().items()],
     )
 
 

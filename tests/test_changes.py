@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import order, values
+from builders import order, values
 
 from ledgerloom.operators.dedup import latest_per_key, upsert_latest
 from ledgerloom.plans import changes, staging

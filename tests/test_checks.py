@@ -1,5 +1,5 @@
 import pytest
-from conftest import order
+from builders import order
 
 from ledgerloom.checks import rows
 from ledgerloom.checks.suite import (
@@ -83,7 +83,7 @@ def test_enforce_raises_with_samples_for_errors_only(t):
 
 
 def test_declared_checks_pass_on_clean_orders(spark, raw):
-    from conftest import AS_OF, line, shipment
+    from builders import AS_OF, line, shipment
 
     from ledgerloom.plans.build import Models
 
@@ -150,7 +150,7 @@ def test_checks_read_together_count_as_alone(spark):
 
 
 def test_suite_of_the_models_reads_each_table_once(spark, raw):
-    from conftest import AS_OF, line, shipment
+    from builders import AS_OF, line, shipment
 
     from ledgerloom.plans.build import Models
 

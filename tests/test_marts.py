@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import AS_OF, by, line, order, shipment, values
+from builders import AS_OF, by, line, order, shipment, values
 
 from ledgerloom.plans import dates, intermediate, marts, staging, variants
 from ledgerloom.plans.build import Models

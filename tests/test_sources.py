@@ -3,7 +3,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import AS_OF, line, order
+from builders import AS_OF, line, order
 from pyspark.sql import functions as F
 
 from ledgerloom import schema as S

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import by, line, order, shipment, values
+from builders import by, line, order, shipment, values
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

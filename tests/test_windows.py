@@ -93,7 +93,7 @@ def test_ntile(spark, rows):
 
 
 def test_staged_models_split_alike(spark, raw):
-    from conftest import line, order, shipment
+    from builders import line, order, shipment
 
     rows = []
     for i in range(90):

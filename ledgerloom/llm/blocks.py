@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.components import components
 from ledgerloom.operators.stored import store
 
+#: Places that a cluster's nodes are dealt to where they learn its size.
+SALTS = 16
+
 
 def main_comp(rows: DataFrame, of: str) -> DataFrame:
     """The component that most rows of each ``of`` belong to."""
@@ -35,7 +38,10 @@ def in_blocks(placed: DataFrame, size: int, compare: Callable[[pa.Table, pa.Tabl
     """
     counts = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_if("outside").alias("m"))
     parts = counts.select("cluster", F.ceil(F.col("m") / size).cast("int").alias("rows"), F.ceil(F.col("n") / size).cast("int").alias("columns"))
-    held = placed.join(parts.filter("rows > 0"), "cluster")
+    # salted, so that a cluster with a large share of all nodes is joined in several places
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    held = salted.join(parts.filter("rows > 0").withColumn("salt", salts), ["cluster", "salt"])
 
     def own(n: str):
         return F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -51,4 +57,6 @@ def in_blocks(placed: DataFrame, size: int, compare: Callable[[pa.Table, pa.Tabl
         is_left = rows.column("left").to_numpy()
         return compare(rows.filter(pa.array(is_left)), rows.filter(pa.array(~is_left)))
 
-    return store(left.unionByName(right).groupBy("cluster", "row", "column").applyInArrow(block, schema), "blocks")
+    # the join above has dealt all of a cluster to one place, which the grouping would keep: deal blocks out
+    dealt = left.unionByName(right).repartition("cluster", "row", "column")
+    return store(dealt.groupBy("cluster", "row", "column").applyInArrow(block, schema), "blocks")

@@ -42,21 +42,23 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % folds
 
 
-def bounded_sample(rows: DataFrame, group: str, per_group: int, key: list[str]) -> DataFrame:
+def bounded_sample(rows: DataFrame, group: str, per_group: int, key: list[str], groups: int = 256) -> DataFrame:
     """About ``per_group`` rows of each value of ``group``, all of them where there are fewer.
 
     The choice is a threshold on a hash of ``key``, so it doesn't depend on partitions, and costs one count
-    per group, which must be few (classes).
+    per group. Of more than ``groups`` values the most frequent ones are taken, ties by value; only their counts
+    reach the driver. Null is no value.
     """
-    counts = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
-    if all(n <= per_group for n in counts.values()):
-        return rows
+    counted = rows.filter(F.col(group).isNotNull()).groupBy(group).count()
+    counts = {r[group]: r["count"] for r in counted.orderBy(F.col("count").desc(), group).limit(groups + 1).collect()}
+    taken = dict(list(counts.items())[:groups])
+    if len(counts) == len(taken) and all(n <= per_group for n in taken.values()):
+        return rows.filter(F.col(group).isNotNull())
+    if not taken:
+        return rows.limit(0)
+    limits = F.create_map(*[F.lit(x) for value, n in taken.items() for x in (value, min(1 << 30, int((1 << 30) * per_group / n)))])
     draw = F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 30))
-    limit = F.lit(1 << 30)
-    for value, n in counts.items():
-        if n > per_group:
-            limit = F.when(F.col(group).eqNullSafe(F.lit(value)), F.lit(int((1 << 30) * per_group / n))).otherwise(limit)
-    return rows.filter(draw < limit)
+    return rows.filter(draw < F.try_element_at(limits, F.col(group)))
 
 
 def slices(batch: pa.RecordBatch, column: str, chars: int = PASS_CHARS) -> Iterator[pa.RecordBatch]:

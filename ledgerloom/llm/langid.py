@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import bounded_sample, map_texts, plain, slices, texts_of
 from ledgerloom.llm.ngrams import codes
+from ledgerloom.operators.stored import store
 
 ORDERS, BITS, SMOOTHING = (1, 2, 3), 16, 0.5
 UNDETERMINED = "und"
+#: Languages that are learned, the most frequent ones of the labels.
+LANGUAGES = 128
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -38,10 +41,15 @@ class Model:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 4000,
         key: list[str] | None = None) -> Model:
-    """Learn from at most about ``per_language`` texts of each language, whole texts each."""
+    """Learn from at most about ``per_language`` texts of each language, whole texts each, of the ``LANGUAGES`` most
+    frequent languages."""
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), *[F.col(c).alias(f"_{c}") for c in key or []])
-    sample = bounded_sample(rows, "lang", per_language, [f"_{c}" for c in key or []] + ["text"]).select("lang", "text")
+    sample = bounded_sample(rows, "lang", per_language, [f"_{c}" for c in key or []] + ["text"], LANGUAGES).select("lang", "text")
+    # read with all tasks, then counted by few of them, as each holds a table per language
+    sample = store(sample.withColumn("row", F.monotonically_increasing_id()), "language-sample")
+    # rows that repeat id and text share a draw and may be many: cut once more, as a draw is only about the bound
+    sample = bounded_sample(sample, "lang", per_language + per_language // 5, ["text", "row"], LANGUAGES).drop("row")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}

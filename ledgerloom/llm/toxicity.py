@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import bounded_sample, map_texts, slices, texts_of
 from ledgerloom.llm.ngrams import codes
+from ledgerloom.operators.stored import store
 
 ORDERS, BITS, FEATURES = (3, 4, 5), 20, 20_000
 #: A feature must be in so many texts of the sample.
 LEAST_TEXTS = 5
 ROUNDS, PENALTY = 150, 1e-3
+#: Tasks that count the stored sample's features; each has two counters per bucket.
+TASKS = 6
 
 
 @dataclass
@@ -39,14 +42,18 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, text_col: str = "text") -> DataFrame:
-    """Text and label (0 or 1) of at most about ``per_class`` labelled documents of each class.
+    """Text and label (0 or 1) of at most about ``per_class`` labelled documents of each class, as a stored table.
 
     The sample is drawn from the labels, so its side of the join has a known bound and texts stay where they are.
-    A document with several labels counts as 1 if any is.
+    A document with several labels counts as 1 if any is. Rows that share a labelled id may be many: what the join
+    finds is cut to the bound once more.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     sample = bounded_sample(known, "label", per_class, ["doc_id"])
-    return docs.join(F.broadcast(sample), "doc_id").select(F.col(text_col).alias("text"), "label")
+    found = docs.join(F.broadcast(sample), "doc_id").select(F.col(text_col).alias("text"), "label", F.monotonically_increasing_id().alias("row"))
+    found = store(found, "labelled")
+    # a draw of the bound is a little above or below it by chance; only a table well above is drawn from again
+    return bounded_sample(found, "label", per_class + per_class // 5, ["text", "row"]).drop("row")
 
 
 def present(texts: list[str], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +94,7 @@ def fit(sample: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[0, at]), pa.array(seen[1, at])], names=["bucket", "clean", "toxic"])
 
     counts = (
-        sample.coalesce(6).mapInArrow(count, "bucket int, clean int, toxic int")
+        sample.coalesce(TASKS).mapInArrow(count, "bucket int, clean int, toxic int")
         .groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter(F.col("clean") + F.col("toxic") >= LEAST_TEXTS).toPandas()
     )

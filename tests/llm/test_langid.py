@@ -79,3 +79,18 @@ def test_odd_rows(odd, docs):
 def test_nothing_to_learn_from(odd):
     model = langid.fit(odd.limit(0))
     assert {(r.lang_pred, r.score) for r in langid.identify(odd, model).collect()} == {("und", 0.0)}
+
+
+def test_of_very_many_languages_the_most_frequent_are_learned(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = [(k, f"word{k} text", f"l{k}") for k in range(10_000)] + [(20_000 + k, "the and of with", "en") for k in range(9)]
+    rows += [(30_000 + k, "der die das und", "de") for k in range(9)]
+    model = langid.fit(docs(*rows), key=["doc_id"])
+    assert len(model.languages) == 3 and {"en", "de"} <= set(model.languages)
+    told = langid.identify(docs((1, "the and of"), (2, "und die das")), model).collect()
+    assert [r.lang_pred for r in told] == ["en", "de"]
+
+
+def test_rows_that_repeat_id_and_text_are_cut_to_the_bound(spark, docs):
+    model = langid.fit(docs(*[(1, "the same text", "en")] * 5000, *[(k, f"der text {k}", "de") for k in range(2, 30)]), per_language=50, key=["doc_id"])
+    assert set(model.languages) <= {"de", "en"} and "de" in model.languages

@@ -145,3 +145,23 @@ def test_components_of_chains_and_stars(spark):
     first = components(spark.createDataFrame(edges[::2], "a long, b long"))
     added = components(spark.createDataFrame(edges[1::2], "x long, y long"), "x", "y", first)
     assert {r.node: r.comp for r in added.filter("node <> 300").collect()} == got
+
+
+def test_blocks_of_a_cluster_are_dealt_out(spark):
+    import pyarrow as pa
+
+    from ledgerloom.llm import blocks
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        stored = blocks.store
+        blocks.store = lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df, label)
+        placed = spark.range(40).selectExpr("id AS node", "id % 2 AS cluster", "id % 4 = 0 AS outside")
+        found = blocks.in_blocks(placed, 4, lambda x, y: pa.table({"n": pa.array([len(x) * len(y)])}), "n long")
+        assert found.groupBy().sum("n").first()[0] == 20 * 10 + 0 * 20
+    finally:
+        blocks.store = stored
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(cluster" in plans[0] and ", row" in plans[0] and "column" in plans[0].split("hashpartitioning(cluster")[1][:60]

@@ -71,3 +71,10 @@ def test_odd_rows(odd, spark):
 def test_one_class_teaches_nothing(odd, spark):
     model = toxicity.fit(sample(spark, 30, 0).filter("label = 0"))
     assert {r.score for r in toxicity.score(odd, model).collect()} == {0.0}
+
+
+def test_an_id_that_many_rows_share_doesn_t_break_the_bound(spark, docs):
+    rows = docs(*[(1, f"copy {k}") for k in range(10_000)], *[(k, f"text {k}") for k in range(2, 40)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], "doc_id long, toxic int")
+    got = {r.label: r["count"] for r in toxicity.labelled_sample(rows, labels, "toxic", 50).groupBy("label").count().collect()}
+    assert got[0] == 19 and got[1] < 150

@@ -13,11 +13,11 @@ from ledgerloom import schema as S
 ROWS = {
     # every spelling of the feed in another case, one with two services, some that no shipment has
     "shipping_carriers": [
-        ("fedex GROUND", "Federal Parcel", "Ground"),
-        ("ups next day air", "Brown Vans", "Next day"),
-        ("USPS", "Letter Post", "Letter"),
-        ("Dhl Ecommerce", "Yellow Vans", "Parcel"),
-        ("Bicycle Courier", "Pedal Post", "City"),
+        ("fedex GROUND", "Federal Parcel", "Economy"),
+        ("ups next day air", "Brown Vans", "Express"),
+        ("USPS", "Letter Post", "Standard"),
+        ("Dhl Ecommerce", "Yellow Vans", "Economy"),
+        ("Bicycle Courier", "Pedal Post", "Express"),
     ],
     "order_source_mapping": [
         ("TikTok", "Short Videos", "Feed"),

@@ -700,10 +700,21 @@ for _side in ("first", "last"):
 SELECTS["incremental_orders"] = SELECTS["fct_orders"]
 SELECTS["incremental_daily_revenue"] = SELECTS["daily_revenue"]
 SELECTS["incremental_customers"] = SELECTS["dim_customers"]
+SELECTS["bucketed_latest_order"] = SELECTS["dedup_latest_order"]
 SELECTS["orders_snapshot"] = SELECTS["orders_scd2"]
 SELECTS["orders_current_state"] = (
     "order_id payment_status fulfillment_status cancellation_reason total_amount:f valid_from:t=synced_at", "newest")
 
+SELECTS["monthly_customers"] = (
+    "order_year:i order_month:i unique_customers=count(DISTINCT/**/customer_id) is_close=true",
+    "fo WHERE NOT is_canceled GROUP BY ALL")
+SELECTS["rejoined_totals"] = (
+    "order_id n_rows=count(*) total_quantity:i=ifnull(sum(quantity),0) titled_rows=count(product_title) "
+    "delivered_rows=count(*)FILTER(WHERE/**/shipment_status='delivered') tracked_rows=count(tracking_number) "
+    "repeated_amount:f=sum(total_amount)",
+    "(SELECT order_id, total_amount FROM so) LEFT JOIN (SELECT order_id, product_title, quantity FROM sl) USING (order_id) "
+    "LEFT JOIN (SELECT order_id, tracking_number, shipment_status FROM ss) USING (order_id) GROUP BY order_id")
+
 _PICKED = (
     "dc LEFT JOIN (SELECT customer_id, customer_email AS last_email, order_source AS latest_order_source, "
     "referring_site AS latest_referring_site FROM so QUALIFY row_number() OVER (PARTITION BY customer_id "
@@ -731,6 +742,25 @@ UNION ALL SELECT 'line_items', (SELECT count(*) FROM every_line), (SELECT count(
 UNION ALL SELECT 'fulfillments', (SELECT count(*) FROM every_shipment), (SELECT count(*) FROM ss))""",
 }
 
+_STATEMENTS["check_whole_tables"] = f"""
+SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM (
+SELECT 'freshness_raw_orders_timestamp_millis(bigint(_daton_batch_runtime))' AS check_name, 'raw_orders' AS table_name,
+  CASE WHEN loaded < TIMESTAMP '{AS_OF}' - INTERVAL 48 HOUR OR loaded >= TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR
+    THEN 'error' ELSE 'warn' END AS severity, (loaded < TIMESTAMP '{AS_OF}' - INTERVAL 24 HOUR)::BIGINT AS failures
+FROM (SELECT max(epoch_ms(_daton_batch_runtime::BIGINT)) AS loaded FROM raw_orders)
+UNION ALL SELECT 'recency_fct_orders_order_created_at', 'fct_orders', 'warn',
+  (SELECT (max(order_created_at) < TIMESTAMP '{AS_OF}' - INTERVAL 3 DAY)::BIGINT FROM fo)
+UNION ALL SELECT 'distinct_source_lost_raw_orders_id', 'raw_orders', 'warn',
+  ((SELECT count(DISTINCT id) FROM raw_orders) <> (SELECT count(*) FROM so))::BIGINT
+UNION ALL SELECT 'without_children_dim_customers_customer_id', 'dim_customers', 'error',
+  (SELECT count(*) FROM dc WHERE customer_id NOT IN (SELECT customer_id FROM fo WHERE customer_id IS NOT NULL))
+UNION ALL SELECT 'equal_rowcount_fct_orders', 'fct_orders', 'error',
+  ((SELECT count(*) FROM fo) <> (SELECT count(*) FROM so))::BIGINT
+UNION ALL SELECT 'fewer_rows_dim_customers', 'dim_customers', 'warn',
+  ((SELECT count(*) FROM dc) >= (SELECT count(*) FROM so))::BIGINT
+UNION ALL SELECT 'at_least_one_dim_products_product_id', 'dim_products', 'error',
+  (SELECT (count(product_id) = 0)::BIGINT FROM dp))"""
+
 
 # The declared checks, a line each. The values a column may have stand behind it,
 # or the table whose key it points to; "warn" stands where a failure only warns.

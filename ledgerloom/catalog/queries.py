@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from ledgerloom import schema as S
 from ledgerloom.catalog.feed_models import FeedModels, comparable, models_for
 from ledgerloom.catalog.lookups import lookup
 from ledgerloom.checks import rows as checks
+from ledgerloom.checks.suite import on_whole_tables, run_suite
 from ledgerloom.functions import segments
 from ledgerloom.functions.scalars import divide_or_null, from_epoch_millis
 from ledgerloom.operators import dedup, lookup as lk, nested, profile, ranking
@@ -20,6 +22,7 @@ from ledgerloom.plans import changes, dates, intermediate as mid, marts, staging
 from ledgerloom.plans.incremental import IncrementalBuild
 from ledgerloom.plans.snapshot import OrderSnapshot
 from ledgerloom.sources import files
+from ledgerloom.sources.versions import VersionStore
 from ledgerloom.streaming import feed as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,6 +237,11 @@ def rejoin_children(m):
     return nested.rejoin_children(m.stg_orders, m.stg_line_items, m.stg_fulfillments)
 
 
+@query
+def rejoined_totals(m):
+    return nested.rejoined_totals(m.stg_orders, m.stg_line_items, m.stg_fulfillments)
+
+
 # --- deduplication ---------------------------------------------------------------
 
 @query
@@ -243,6 +251,22 @@ def dedup_latest_order(m):
     )
 
 
+@query
+def bucketed_latest_order(m):
+    # the feed in three deliveries, the first two compacted, by the buckets that each was stored in
+    database = "versions_" + uuid.uuid4().hex[:12]
+    kept = VersionStore(m.spark, database, "orders", buckets=8)
+    first, second = _two_loads(m)
+    late = F.col("_daton_batch_id") == "b0"
+    for rows in (first, second.where(~late)):
+        kept.append(rows)
+    kept.compact()
+    kept.append(second.where(late))
+    latest = store(kept.latest("order_id", staging.ORDER_RECENCY, staging.typed_orders), "bucketed")
+    m.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return latest.select("order_id", "payment_status", "total_amount", "synced_at", "_daton_batch_id")
+
+
 @query
 def dedup_composite_key(m):
     latest = dedup.latest_per_key(
@@ -638,6 +662,17 @@ def daily_revenue(m):
     return marts.newest_first(marts.fct_daily_revenue(m.fct_orders))
 
 
+@query
+def monthly_customers(m):
+    # exact counts beside those from daily sketches, which may be off by three standard errors
+    month = ["order_year", "order_month"]
+    exact = marts.kept_orders(m.fct_orders).groupBy(*month).agg(F.count_distinct("customer_id").alias("unique_customers"))
+    sketches = store(marts.daily_customer_sketches(m.fct_orders), "sketches")
+    both = exact.join(marts.customers_per(sketches, *month, name="estimate"), month)
+    allowed = 3 * 1.04 / (1 << marts.SKETCH_CELLS) ** 0.5 * F.col("unique_customers") + 1
+    return both.select(*month, "unique_customers", (F.abs(F.col("estimate") - F.col("unique_customers")) <= allowed).alias("is_close"))
+
+
 @query
 def dim_customers(m):
     # the build time is the clock's and no part of the comparison
@@ -873,6 +908,13 @@ def check_distinct_count(m):
     return checks.distinct_count_is(m.stg_orders, "payment_status", 5)
 
 
+@query
+def check_whole_tables(m):
+    named = {**m.tables(), "raw_orders": m.raw}
+    report = run_suite(on_whole_tables(f"{m.as_of} 00:00:00"), named)
+    return report.select("check_name", "table_name", "severity", "failures", "status")
+
+
 @query
 def check_suite(m):
     return m.check().select("check_name", "table_name", "column_name", "severity", "failures", "status")

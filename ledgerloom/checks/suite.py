@@ -308,3 +308,20 @@ FURTHER: tuple[Check, ...] = (
     ),
     Check("fct_orders", "not_null", "customer_id", where="is_canceled = FALSE"),
 )
+
+
+# The limits documented for the raw feed's age and for the newest order's.
+def on_whole_tables(as_of: str) -> tuple[Check, ...]:
+    """Checks of tables as wholes, some against the time ``as_of``: freshness of the raw feed by its load time, recency
+    of orders, no order lost, customers with orders, and row counts of tables that are made of one another."""
+    return (
+        Check("raw_orders", "freshness", "timestamp_millis(bigint(_daton_batch_runtime))",
+              {"as_of": as_of, "warn_hours": 24, "error_hours": 48}),
+        Check("fct_orders", "recency", "order_created_at", {"part": "DAY", "count": 3, "as_of": as_of}, severity="warn"),
+        Check("raw_orders", "distinct_source_lost", "id", {"to": "stg_orders"}, severity="warn",
+              description="Test orders are left out on purpose"),
+        Check("dim_customers", "without_children", "customer_id", {"to": "fct_orders"}),
+        Check("fct_orders", "equal_rowcount", args={"to": "stg_orders"}),
+        Check("dim_customers", "fewer_rows", args={"to": "stg_orders"}, severity="warn"),
+        Check("dim_products", "at_least_one", "product_id"),
+    )

@@ -44,3 +44,24 @@ def rejoin_children(orders: DataFrame, lines: DataFrame, fulfillments: DataFrame
             "order_id", "left",
         )
     )
+
+
+def rejoined_totals(orders: DataFrame, lines: DataFrame, fulfillments: DataFrame) -> DataFrame:
+    """Counts and sums over the rows of :func:`rejoin_children`, one row per order, without making those rows.
+
+    The product of two child sets has as many rows as their sizes multiplied, a set without rows counting as one row of
+    nulls; each line is in it once for every shipment, and each shipment once for every line. So the totals follow from
+    one summary of either side, whatever their sizes.
+    """
+    by_line = lines.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_lines"), F.sum("quantity").alias("_quantity"), F.count("product_title").alias("_titled"))
+    by_shipment = fulfillments.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("_shipments"), F.count_if(F.col("shipment_status") == "delivered").alias("_delivered"),
+        F.count("tracking_number").alias("_tracked"))
+    joined = orders.select("order_id", "total_amount").join(by_line, "order_id", "left").join(by_shipment, "order_id", "left")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    a, b = F.coalesce("_lines", one), F.coalesce("_shipments", one)
+    return joined.select(
+        "order_id", (a * b).alias("n_rows"), (F.coalesce("_quantity", zero) * b).alias("total_quantity"),
+        (F.coalesce("_titled", zero) * b).alias("titled_rows"), (F.coalesce("_delivered", zero) * a).alias("delivered_rows"),
+        (F.coalesce("_tracked", zero) * a).alias("tracked_rows"), (F.col("total_amount") * (a * b)).alias("repeated_amount"))

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.checks.suite import DECLARED, FURTHER, ON_LOOKUPS, run_suite
+from ledgerloom.checks.suite import DECLARED, FURTHER, ON_LOOKUPS, on_whole_tables, run_suite
 from ledgerloom.operators.stored import store
 from ledgerloom.plans import dates, descriptions, intermediate, marts, staging
 from ledgerloom.sources.tables import ensure_database, save_table, save_view
@@ -81,9 +81,11 @@ class Models:
         names = dict.fromkeys(c.table for c in DECLARED if c.table != "raw_orders")
         return {"raw_orders": self.raw, **{n: getattr(self, stored.get(n, n)) for n in names}}
 
-    def check(self, further: bool = False, lookups: Mapping[str, DataFrame] | None = None) -> DataFrame:
-        """The declared checks; with ``further`` the further ones too, and those on the lookup tables given."""
+    def check(self, further: bool = False, lookups: Mapping[str, DataFrame] | None = None, at: str | None = None) -> DataFrame:
+        """The declared checks; with ``further`` the further ones too, and those on the lookup tables given; with ``at``,
+        a time, those on whole tables, as of then."""
         checks = [*DECLARED, *(FURTHER if further else ()), *(c for c in ON_LOOKUPS if c.table in (lookups or {}))]
+        checks += on_whole_tables(at) if at else ()
         return run_suite(checks, {**self.tables(), **(lookups or {})})
 
 

@@ -89,6 +89,21 @@ def by_day(orders: DataFrame, day: tuple[str, ...], measures: dict[str, Column])
     return daily.withColumns(daily_rates())
 
 
+#: log2 of the cells of a sketch; its relative standard error is 1.04 / sqrt(cells), 0.8 %.
+SKETCH_CELLS = 14
+
+
+def daily_customer_sketches(fact: DataFrame) -> DataFrame:
+    """A mergeable sketch of each day's customers. It is as long as a day has customers, up to its cells."""
+    return kept_orders(fact).groupBy(*DAY).agg(F.hll_sketch_agg("customer_id", F.lit(SKETCH_CELLS)).alias("customers"))
+
+
+def customers_per(sketches: DataFrame, *period: str, name: str = "unique_customers") -> DataFrame:
+    """Distinct customers of longer periods, from the sketches of their days; the fact isn't read again."""
+    merged = sketches.groupBy(*period).agg(F.hll_union_agg("customers").alias("_all"))
+    return merged.select(*period, F.hll_sketch_estimate("_all").alias(name))
+
+
 def newest_first(daily: DataFrame) -> DataFrame:
     return daily.orderBy(F.col("order_date").desc())
 

@@ -158,3 +158,24 @@ def test_suite_of_the_models_reads_each_table_once(spark, raw):
     plan = models.check()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") <= 18 and plan.count("Scan parquet") <= 12
     assert models.check(further=True).count() == len(DECLARED) + len(FURTHER)
+
+
+def test_checks_of_whole_tables(raw):
+    from builders import line, shipment
+
+    from ledgerloom.checks.suite import on_whole_tables
+    from ledgerloom.plans.build import Models
+
+    df = raw(*[order(str(i), customer=str(i % 3), line_items=[line(f"l{i}")], fulfillments=[shipment(f"f{i}")]) for i in range(6)],
+             order("9", test="true"))
+    models = Models(df, "2024-01-03")
+
+    def failing(at):
+        report = {r.check_name: r.status for r in run_suite(on_whole_tables(at), models.tables()).collect()}
+        return {k.split("_orders")[0]: v for k, v in report.items() if v != "pass"}
+
+    # the test order is lost on purpose, which only warns
+    assert failing("2024-01-01 10:00:00") == {"distinct_source_lost_raw": "warn"}
+    assert failing("2024-01-02 10:00:00") == {"distinct_source_lost_raw": "warn", "freshness_raw": "warn"}
+    assert failing("2024-01-05 10:00:00") == {"distinct_source_lost_raw": "warn", "freshness_raw": "fail", "recency_fct": "warn"}
+    assert models.check(at="2024-01-01 10:00:00").count() == len(DECLARED) + len(on_whole_tables("x"))

@@ -61,7 +61,7 @@ def test_carriers_and_channels(spark):
 
     ships = spark.createDataFrame([("1", "fedex ground"), ("2", "OnTrac"), ("3", None)], "fulfillment_id string, shipping_carrier string")
     got = sorted(map(tuple, variants.carriers_by_lookup(ships, lookup(spark, "shipping_carriers")).collect()))
-    assert got == [("1", "fedex ground", "Federal Parcel", "Ground"), ("2", "OnTrac", "OnTrac", "Unknown"), ("3", None, None, "Unknown")]
+    assert got == [("1", "fedex ground", "Federal Parcel", "Economy"), ("2", "OnTrac", "OnTrac", "Unknown"), ("3", None, None, "Unknown")]
     orders = spark.createDataFrame([("1", "web"), ("2", "pos"), ("3", None)], "order_id string, order_source string")
     got = sorted(map(tuple, variants.orders_by_channel(orders, lookup(spark, "order_source_mapping")).collect()))
     assert got == [("1", "Own Shop", "Own"), ("2", "pos", "Other"), ("3", None, "Other")]

@@ -185,3 +185,49 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
     top = str(tmp_path)
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{top}/documents.parquet")
     assert corpus_pipeline.run(spark, top).collect() == []
+
+
+def test_encoding(answer, rows):
+    import hashlib
+
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    out = {r.doc_id: r for r in answer("op11_sentencepiece")}
+    assert len(out) == len(rows)
+    for i, t, *_ in rows:
+        ids = library.encode(t or "", add_eos=True)
+        digests = (hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), library.decode(ids)))
+        assert (out[i].n_tokens, out[i].ids_sha256, out[i].decoded_sha256) == (len(ids), *digests)
+
+
+def test_periodic_runs(answer, rows):
+    import hashlib
+
+    from test_runs import brute as every_run
+
+    out = {r.doc_id: r for r in answer("op12_periodic_runs")}
+    assert len(out) == len(rows)
+    for i, t, *_ in rows:
+        words, h = [w.decode() for w in (t or "").encode().split()], zlib.crc32(str(i).encode())
+        n, g = len(words), h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[k] if k < a else words[a + (k - a) % p] for k in range(n)]
+        found = [(s, e - s, q) for s, q, e in every_run(words)]
+        kept = [not any(s + q <= k < s + n for s, n, q in found) for k in range(len(words))]
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        told = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        texts = "".join(f"{s},{n},{q}\n" for s, n, q in found), " ".join(w for w, k in zip(words, kept, strict=True) if k)
+        r = out[i]
+        assert (r.n_runs, r.start, r.length, r.period, r.exponent_milli) == (len(found), *told)
+        assert (r.runs_sha256, r.collapsed_sha256) == tuple(hashlib.sha256(x.encode()).hexdigest() for x in texts)
+
+
+def test_prefix_trie(answer):
+    from test_prefix_trie import brute as nodes
+
+    own = {c: [(["user", "assistant"][t % 2], f"text {c} {t} <#\\>") for t in range(1 + c % 5)] for c in range(20)}
+    rebuilt = {c: own[c - c % 5][: (h := zlib.crc32(str(c).encode()) % 9)] + own[c][h:] for c in own}
+    assert sorted((tuple(r) for r in answer("op13_prefix_trie")), key=str) == nodes(rebuilt)

@@ -700,6 +700,9 @@ for _side in ("first", "last"):
 SELECTS["incremental_orders"] = SELECTS["fct_orders"]
 SELECTS["incremental_daily_revenue"] = SELECTS["daily_revenue"]
 SELECTS["incremental_customers"] = SELECTS["dim_customers"]
+SELECTS["streamed_orders"] = SELECTS["fct_orders"]
+SELECTS["streamed_daily_revenue"] = SELECTS["daily_revenue"]
+SELECTS["streamed_customers"] = SELECTS["dim_customers"]
 SELECTS["bucketed_latest_order"] = SELECTS["dedup_latest_order"]
 SELECTS["orders_snapshot"] = SELECTS["orders_scd2"]
 SELECTS["orders_current_state"] = (

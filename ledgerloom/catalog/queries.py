@@ -801,6 +801,33 @@ def stream_ingest(m):
     )
 
 
+def _followed(m):
+    """The feed in two deliveries to a folder that a stream reads, each an increment of the build."""
+    if not hasattr(m, "followed"):
+        root = new_folder(m.spark, "follow")
+        build = IncrementalBuild(m.spark, f"{root}/build", buckets=8)
+        for rows in _two_loads(m):
+            rows.write.mode("append").json(f"{root}/in")
+            streaming.follow(m.spark, f"{root}/in", build).awaitTermination()
+        m.followed = build
+    return m.followed
+
+
+@query
+def streamed_orders(m):
+    return _followed(m).fct_orders()
+
+
+@query
+def streamed_daily_revenue(m):
+    return marts.newest_first(_followed(m).fct_daily_revenue())
+
+
+@query
+def streamed_customers(m):
+    return _followed(m).dim_customers(m.as_of).drop("updated_at")
+
+
 # --- data checks -----------------------------------------------------------------
 
 @query

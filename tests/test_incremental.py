@@ -9,6 +9,7 @@ from ledgerloom.operators.dedup import latest_per_key, replace_latest
 from ledgerloom.operators.partitions import LOAD
 from ledgerloom.plans import intermediate, marts, staging
 from ledgerloom.plans.incremental import IncrementalBuild
+from ledgerloom.streaming import feed as streaming
 
 
 def same(got, expected):
@@ -145,3 +146,35 @@ def test_replace_latest_equals_dedup_of_both(raw):
     kept = latest_per_key(staging.typed_orders(raw(*first)), *by_key)
     now = replace_latest(kept, staging.typed_orders(raw(*second)), ["order_id"], staging.ORDER_RECENCY)
     same(now, latest_per_key(staging.typed_orders(raw(*first, *second)), *by_key))
+
+
+def test_a_stream_feeds_the_build_and_a_batch_cut_short_counts_once(spark, raw, tmp_path, monkeypatch):
+    folder = str(tmp_path / "in")
+    build = IncrementalBuild(spark, str(tmp_path / "fed"), buckets=4)
+    build.land(raw(*FIRST))  # loads from before the stream stay
+    build.run()
+    raw(*CHANGED).coalesce(1).write.json(folder)
+    streaming.follow(spark, folder, build).awaitTermination()
+    agrees(build, raw(*FIRST, *CHANGED))
+    raw(*SECOND).coalesce(1).write.mode("append").json(folder)
+    tables = type(build.tables)
+    for stop in ("stage", "publish"):  # before all is staged, and with all staged and nothing published
+        with monkeypatch.context() as during:
+            during.setattr(tables, stop, stopped)
+            with pytest.raises(Exception, match="stopped"):
+                streaming.follow(spark, folder, build).awaitTermination()
+    assert build.tables.mark() == 2
+    # published by another run, before the stream could note that the batch is done
+    build.tables.resume()
+    assert build.tables.mark() == 3
+    before = set(build.fct_orders().inputFiles())
+    again = IncrementalBuild(spark, build.tables.root, buckets=4)  # a new driver
+    streaming.follow(spark, folder, again).awaitTermination()
+    assert set(again.fct_orders().inputFiles()) == before and again.tables.numbers(again.raw, LOAD) == [1, 2, 3]
+    agrees(again, raw(*FIRST, *CHANGED, *SECOND))
+    raw(*THIRD).coalesce(1).write.mode("append").json(folder)
+    streaming.follow(spark, folder, again).awaitTermination()
+    assert again.tables.mark() == 4
+    agrees(again, raw(*FIRST, *CHANGED, *SECOND, *THIRD))
+    with pytest.raises(ValueError, match="stream"):
+        again.land(raw(*THIRD))

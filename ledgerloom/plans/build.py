@@ -96,29 +96,16 @@ BUCKETED = ("stg_orders", "stg_line_items", "stg_fulfillments")
 PARTITIONED = {"fct_orders": ("order_year", "order_month")}
 
 
-def build(
-    spark: SparkSession, raw: DataFrame, database: str, as_of: dt.date | str | None = None,
-    buckets: int | None = None, staged_as_views: bool = False,
-    calendar: tuple[str, str] = (dates.FIRST_DAY, dates.LAST_DAY),
-) -> Models:
-    """Rebuild all kept models, staged ones in ``<database>_staging``, the others in ``<database>_marts``.
-
-    With ``buckets`` the staged tables are stored hashed by order, and the joins
-    and aggregates that enrich orders run without a shuffle. Choose it so that one
-    bucket of line items fits a task. The order fact is stored by month, so that a range
-    of dates reads its months only. ``staged_as_views`` publishes the staged models as
-    views instead: nothing is stored, and every reader computes them again.
-    """
-    places = {True: f"{database}_staging", False: f"{database}_marts"}
-    for place in places.values():
-        ensure_database(spark, place)
-
+def saver(
+    spark: SparkSession, staging_db: str, marts_db: str, buckets: int | None = None, staged_as_views: bool = False
+) -> Callable[[DataFrame, str], DataFrame]:
+    """Saves a model as a table of its database, with its description, buckets and partitions, and returns a scan of it."""
     def keep(df: DataFrame, name: str) -> DataFrame:
         staged = name.startswith("stg_")
         if staged and staged_as_views:
             save_view(df, name)
             return df
-        full = f"`{places[staged]}`.`{name}`"
+        full = f"`{staging_db if staged else marts_db}`.`{name}`"
         about = descriptions.MODELS.get(name, {})
         save_table(
             df, full, bucket_by=(buckets, BUCKET_COLUMN) if buckets and name in BUCKETED else None,
@@ -128,7 +115,35 @@ def build(
         )
         return spark.table(full)
 
+    return keep
+
+
+def build_all(
+    raw: DataFrame, as_of: dt.date | str | None, keep: Callable[[DataFrame, str], DataFrame], calendar: tuple[str, str]
+) -> Models:
+    """Every model that is kept, built."""
     models = Models(raw, as_of, keep, calendar)
     models.tables()
     models.dim_dates  # noqa: B018 - built on access
     return models
+
+
+def build(
+    spark: SparkSession, raw: DataFrame, database: str, as_of: dt.date | str | None = None,
+    buckets: int | None = None, staged_as_views: bool = False,
+    calendar: tuple[str, str] = (dates.FIRST_DAY, dates.LAST_DAY),
+) -> Models:
+    """Rebuild all kept models, staged ones in ``<database>_staging``, the others in ``<database>_marts``.
+
+    With ``buckets`` the staged tables are stored hashed by order, and the joins
+    and aggregates that enrich orders run without a shuffle. Choose it so that one
+    bucket of line items fits a task. The order fact is stored by month, so that a range
+    of dates reads its months only. ``staged_as_views`` publishes the staged models as
+    views instead: nothing is stored, and every reader computes them again.
+
+    Tables are replaced in place, one by one; ``release`` rebuilds them beside the ones in use.
+    """
+    places = f"{database}_staging", f"{database}_marts"
+    for place in places:
+        ensure_database(spark, place)
+    return build_all(raw, as_of, saver(spark, *places, buckets, staged_as_views), calendar)

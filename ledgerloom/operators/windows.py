@@ -29,42 +29,66 @@ from ledgerloom.operators.stored import store
 
 HOT_ROWS_SETTING = "ledgerloom.hotGroupRows"
 DEFAULT_HOT_ROWS = 2_000_000
+#: Cells that keys are screened by, at least and at most.
+SCREEN_CELLS = (1 << 10, 1 << 20)
 
 
 def hot_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_SETTING, str(DEFAULT_HOT_ROWS)))
 
 
+def above_limit(keyed: DataFrame, keys: Sequence[str], total: int, limit: int) -> DataFrame | None:
+    """The values of ``keys`` whose ``_rows`` sum to more than ``limit`` as a stored table, None if there are none.
+
+    Keys are screened first. A hash deals them to cells, sums of cells are added up before they are shuffled, and no key
+    has more than its cell: where no cell is above the limit, nothing is hot and no key was shuffled. Otherwise only
+    the keys of cells above it are counted exactly; such cells are at most ``total / limit``. Beyond some 100,000 limits
+    the cells don't grow any more, and more keys come through to the exact count.
+    """
+    least, most = SCREEN_CELLS
+    cells = min(most, max(least, 1 << (8 * total // max(limit, 1)).bit_length()))
+    dealt = keyed.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(cells)))
+    full = dealt.groupBy("_cell").agg(F.sum("_rows").alias("_sum")).where(F.col("_sum") > limit).select("_cell")
+    full = store(full, "cells")
+    if full.isEmpty():
+        return None
+    # a row of eight bytes per cell, at most SCREEN_CELLS of them
+    counted = dealt.join(F.broadcast(full), "_cell", "left_semi").groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
+    hot = store(counted.where(F.col("_rows") > limit).drop("_rows"), "hot")
+    return None if hot.isEmpty() else hot
+
+
 def hot_groups(
     df: DataFrame, keys: dict[str, Column], weight: Column | None = None, limit: int | None = None
 ) -> DataFrame | None:
     """The groups with more than ``limit`` rows (or ``weight``) as a stored table, None if there are none.
 
     ``df`` should be a stored table: this reads the key columns only, and a table that
-    is small as a whole is settled by its row count.
+    is small as a whole is settled by its row count (or the sum of the weights).
     """
     limit = hot_row_limit(df.sparkSession) if limit is None else limit
-    if weight is None:
-        weight = F.lit(1)
-        if df.count() <= limit:
-            return None
-    grouped = df.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(F.sum(weight).alias("_rows"))
-    hot = store(grouped.where(F.col("_rows") > limit).drop("_rows"), "hot")
-    return None if hot.isEmpty() else hot
+    one = F.lit(1) if weight is None else weight
+    total = df.count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0)).cast("long")).first()[0]
+    if total <= limit:
+        return None
+    keyed = df.select(*[c.alias(n) for n, c in keys.items()], one.cast("long").alias("_rows"))
+    return above_limit(keyed, list(keys), total, limit)
 
 
 def hot_groups_together(
     df: DataFrame, keys: dict[str, Column], limit: int | None = None
 ) -> dict[str, DataFrame | None]:
-    """:func:`hot_groups` for each of several key columns, found in one pass over the table."""
+    """:func:`hot_groups` for each of several key columns, screened in one pass over the table."""
     limit = hot_row_limit(df.sparkSession) if limit is None else limit
-    if df.count() <= limit:
+    total = df.count()
+    if total <= limit:
         return dict.fromkeys(keys)
     kinds = df.select(*[c.alias(n) for n, c in keys.items()]).schema
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("_of"), c.cast("string").alias("_key")) for n, c in keys.items()]))
-    grouped = df.select(each.alias("_each")).select("_each.*").groupBy("_of", "_key").agg(F.count("*").alias("_rows"))
-    hot = store(grouped.where(F.col("_rows") > limit).drop("_rows"), "hot")
-    found = {r["_of"] for r in hot.select("_of").distinct().collect()}  # at most the number of keys
+    keyed = df.select(each.alias("_each")).select("_each.*", F.lit(1).cast("long").alias("_rows"))
+    hot = above_limit(keyed, ["_of", "_key"], total * len(keys), limit)
+    # at most the number of keys
+    found = set() if hot is None else {r["_of"] for r in hot.select("_of").distinct().collect()}
     return {
         n: hot.where(F.col("_of") == n).select(F.col("_key").cast(kinds[n].dataType).alias(n)) if n in found else None
         for n in keys

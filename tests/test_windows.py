@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import ranking
 from ledgerloom.operators import windows as win
+from ledgerloom.operators.stored import store
 from ledgerloom.plans import staging
 
 METRICS = [
@@ -132,3 +133,26 @@ def test_hot_groups_of_several_keys_in_one_pass(spark):
     assert found["d"].schema["d"].dataType == df.schema["d"].dataType
     assert win.hot_groups_together(df, {"k": F.col("k"), "d": F.col("d")}, limit=80)["d"] is None
     assert win.hot_groups_together(df, {"k": F.col("k")}, limit=300) == {"k": None}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from([None, *"abcdefgh"]), st.integers(0, 9)), min_size=1, max_size=50), limit=st.integers(0, 30))
+def test_the_screen_loses_no_hot_group(spark, monkeypatch, rows, limit):
+    monkeypatch.setattr(win, "SCREEN_CELLS", (2, 4))  # several keys to a cell
+    totals = {}
+    for k, w in rows:
+        totals[k] = totals.get(k, 0) + w
+    hot = win.hot_groups(spark.createDataFrame(rows, "k string, w int"), {"k": F.col("k")}, F.col("w"), limit)
+    assert sorted(map(str, [r.k for r in hot.collect()] if hot else [])) == sorted(str(k) for k, n in totals.items() if n > limit)
+
+
+def test_no_key_is_shuffled_where_nothing_is_hot(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(win, "store", lambda df, label: stored.append((label, df)) or store(df, label))
+    ids = spark.range(20_000).selectExpr("concat('k', id) AS k")
+    assert win.hot_groups(ids, {"k": F.col("k")}, limit=1000) is None
+    (label, cells), = stored
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert label == "cells" and plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(_cell" in plan
+    one = ids.unionByName(spark.range(2000).selectExpr("'k7' AS k"))
+    assert [r.k for r in win.hot_groups(one, {"k": F.col("k")}, limit=1000).collect()] == ["k7"]

@@ -942,6 +942,18 @@ def check_whole_tables(m):
     return report.select("check_name", "table_name", "severity", "failures", "status")
 
 
+@query
+def incremental_checks(m):
+    # kept over two increments: the second refresh reads what the second increment has replaced
+    build = IncrementalBuild(m.spark, new_folder(m.spark, "checked"), buckets=8)
+    kept = build.checks(buckets=16)
+    for rows in _two_loads(m):
+        build.land(rows)
+        build.run()
+        kept.refresh()
+    return kept.report().select("check_name", "table_name", "column_name", "severity", "failures", "status")
+
+
 @query
 def check_suite(m):
     return m.check().select("check_name", "table_name", "column_name", "severity", "failures", "status")

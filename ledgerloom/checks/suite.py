@@ -88,7 +88,7 @@ def failing_rows(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     return kind.rows(df, **args)
 
 
-def _broken(check: Check) -> Column:
+def breaks(check: Check) -> Column:
     """Whether a row breaks a single-row check; never null."""
     value, a = F.col(check.column) if check.column else None, check.args
     if check.kind == "not_null":
@@ -112,7 +112,7 @@ def _broken(check: Check) -> Column:
     return F.coalesce(bad, F.lit(False))
 
 
-def _line(check: Check, failures: Column, severity: Column | None = None) -> Column:
+def report_line(check: Check, failures: Column, severity: Column | None = None) -> Column:
     """A row of the report."""
     text = {
         "check_name": check.name, "table_name": check.table, "column_name": check.column,
@@ -130,8 +130,8 @@ def _report(counts: DataFrame, lines: list[Column]) -> DataFrame:
 
 def _together(df: DataFrame, row_checks: list[Check]) -> DataFrame:
     """Single-row checks of a table, in one pass without a shuffle of rows."""
-    counts = df.agg(*[F.count_if(_broken(c)).alias(f"_{i}") for i, c in enumerate(row_checks)])
-    return _report(counts, [_line(c, F.col(f"_{i}")) for i, c in enumerate(row_checks)])
+    counts = df.agg(*[F.count_if(breaks(c)).alias(f"_{i}") for i, c in enumerate(row_checks)])
+    return _report(counts, [report_line(c, F.col(f"_{i}")) for i, c in enumerate(row_checks)])
 
 
 def _by_key(
@@ -141,7 +141,7 @@ def _by_key(
 
     A key is repeated if the table has it twice, and missing if only others have it.
     """
-    own = [_broken(c).alias(f"_{i}") for i, c in enumerate(row_checks)]
+    own = [breaks(c).alias(f"_{i}") for i, c in enumerate(row_checks)]
     none = [F.lit(False).alias(f"_{i}") for i in range(len(row_checks))]
     sides = [df.select(F.col(key).alias("_key"), F.lit(-1).alias("_side"), *own)]
     sides += [child.select(F.col(c.column).alias("_key"), F.lit(j).alias("_side"), *none) for j, (c, child) in enumerate(pointing)]
@@ -157,9 +157,9 @@ def _by_key(
         *[F.coalesce(F.sum(F.when(orphaned, F.col(f"_from_{j}"))), F.lit(0)).alias(f"_from_{j}") for j in range(len(pointing))],
     )
     return _report(counts, [
-        *[_line(c, F.col("_repeated")) for c in unique],
-        *[_line(c, F.col(f"_{i}")) for i, c in enumerate(row_checks)],
-        *[_line(c, F.col(f"_from_{j}")) for j, (c, _) in enumerate(pointing)],
+        *[report_line(c, F.col("_repeated")) for c in unique],
+        *[report_line(c, F.col(f"_{i}")) for i, c in enumerate(row_checks)],
+        *[report_line(c, F.col(f"_from_{j}")) for j, (c, _) in enumerate(pointing)],
     ])
 
 
@@ -167,10 +167,10 @@ def _alone(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     """A check with a pass of its own. A stale table is an error or, before that, a warning."""
     broken = failing_rows(check, tables)
     if check.kind != "freshness":
-        return _report(broken.agg(F.count("*").alias("n")), [_line(check, F.col("n"))])
+        return _report(broken.agg(F.count("*").alias("n")), [report_line(check, F.col("n"))])
     counts = broken.agg(F.count("*").alias("n"), F.max("status").alias("status"))
     severity = F.when(F.col("status") == "WARN", "warn").otherwise(check.severity)
-    return _report(counts, [_line(check, F.col("n"), severity)])
+    return _report(counts, [report_line(check, F.col("n"), severity)])
 
 
 def run_suite(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -201,7 +201,10 @@ def run_suite(checks: Iterable[Check], tables: Mapping[str, DataFrame]) -> DataF
             parts.append(_by_key(frames[at], keys[at], unique, row_checks, pointing.get(at, [])))
         elif row_checks:
             parts.append(_together(frames[at], row_checks))
-    report = reduce(DataFrame.unionByName, parts)
+    return with_status(reduce(DataFrame.unionByName, parts))
+
+
+def with_status(report: DataFrame) -> DataFrame:
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn")
     return report.withColumn("status", status.otherwise("fail"))
 

@@ -8,9 +8,11 @@ six digits, times and dates are text, integers are BIGINT.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from ledgerloom.catalog.feed_models import NULLABLE_FLAGS, NULLABLE_NUMBERS
 from ledgerloom.catalog.lookups import as_values
+from ledgerloom.schema import FULFILLMENT_FIELDS, LINE_ITEM_FIELDS
 from ledgerloom.sources.feed import AS_OF
 
 RAW_FEED = """li AS (
@@ -429,9 +431,6 @@ _SPLIT_ORDERS = (
 
 # query -> (columns, source), put together by _select
 SELECTS: dict[str, tuple[str, str]] = {
-    "scan_jsonl": (
-        "order_id=id _daton_batch_id total_price:f=total_price::DOUBLE n_lines:i=len(line_items) "
-        "n_fulfillments:i=len(fulfillments)", "raw_orders"),
     "scan_lookup_csv": (
         "country_code:s=n_nationkey country_name=n_name region=r_name",
         "nation LEFT JOIN region ON r_regionkey = n_regionkey"),
@@ -765,6 +764,29 @@ UNION ALL SELECT 'at_least_one_dim_products_product_id', 'dim_products', 'error'
   (SELECT (count(product_id) = 0)::BIGINT FROM dp))"""
 
 
+
+def _elements(array: str, fields: Iterable[str]) -> str:
+    """All fields of an array's elements as one text."""
+    shown = [f"strftime(e.{n}, '%Y-%m-%d %H:%M:%S')" if n in ("created_at", "updated_at") else f"e.{n}" for n in fields]
+    each = ", ".join(f"coalesce({x}, '~')" for x in shown)
+    return f"coalesce(array_to_string(list_transform({array}, lambda e: concat_ws('|', {each})), ';'), '')"
+
+
+_SCANNED = (
+    "order_id=id name order_number confirmation_number currency presentment_currency financial_status fulfillment_status "
+    "cancel_reason source_name source_identifier referring_site email phone tags token app_id confirmed test taxes_included "
+    "buyer_accepts_marketing _daton_user_id _daton_batch_id _daton_batch_runtime created_at:t processed_at:t updated_at:t "
+    "closed_at:t cancelled_at:t subtotal_price:f total_discounts:f total_tax:f total_price:f total_line_items_price:f "
+    "total_tip_received:f customers n_lines:i=len(line_items) lines line_prices:f line_discounts:f "
+    "n_fulfillments:i=len(fulfillments) shipments"
+)
+_STATEMENTS["scan_jsonl"] = _select(_SCANNED, f"""(SELECT *, {_elements("customer", ["id"])} AS customers,
+  {_elements("line_items", [n for n in LINE_ITEM_FIELDS if n not in ("price", "total_discount")])} AS lines,
+  {_elements("fulfillments", FULFILLMENT_FIELDS)} AS shipments,
+  ifnull(list_sum(list_transform(line_items, lambda e: e.price::DOUBLE)), 0) AS line_prices,
+  ifnull(list_sum(list_transform(line_items, lambda e: e.total_discount::DOUBLE)), 0) AS line_discounts
+FROM raw_orders)""")
+
 # The declared checks, a line each. The values a column may have stand behind it,
 # or the table whose key it points to; "warn" stands where a failure only warns.
 _CHECKS = """

@@ -46,11 +46,31 @@ def scan_jsonl(m):
     path = new_folder(m.spark, "jsonl")
     m.raw.write.json(path)
     read = files.read_jsonl(m.spark, path)
+    # every column and every field of the arrays' elements; amounts and times in a form that other engines print alike
+    times = ("created_at", "processed_at", "updated_at", "closed_at", "cancelled_at")
+    amounts = [c for c in read.columns if c.startswith("total_") or c == "subtotal_price"]
+    texts = [c for c in read.columns if c not in (*times, *amounts, "id", "customer", "shipping_address", "line_items", "fulfillments")]
+
+    def elements(array, names):
+        def shown(e, name):
+            made = F.date_format(e[name].cast("timestamp"), "yyyy-MM-dd HH:mm:ss") if name in times else e[name]
+            return F.coalesce(made, F.lit("~"))
+
+        return F.coalesce(F.array_join(F.transform(array, lambda e: F.concat_ws("|", *[shown(e, n) for n in names])), ";"), F.lit(""))
+
+    def total(field):
+        return F.aggregate("line_items", F.lit(0.0), lambda a, e: a + e[field].cast("double"))
+
     return read.select(
-        F.col("id").alias("order_id"), "_daton_batch_id", "total_price",
+        F.col("id").alias("order_id"), *texts,
+        *[F.col(c).cast("timestamp").alias(c) for c in times], *[F.col(c).cast("double").alias(c) for c in amounts],
+        elements("customer", ["id"]).alias("customers"),
         nested.array_length("line_items").alias("n_lines"),
+        elements("line_items", [n for n in S.LINE_ITEM_FIELDS if n not in ("price", "total_discount")]).alias("lines"),
+        total("price").alias("line_prices"), total("total_discount").alias("line_discounts"),
         nested.array_length("fulfillments").alias("n_fulfillments"),
-    ).withColumn("total_price", F.col("total_price").cast("double"))
+        elements("fulfillments", S.FULFILLMENT_FIELDS).alias("shipments"),
+    )
 
 
 @query

@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOOKUP_ROWS = 1_000
+LOOKUP_BYTES = 64 << 20
+
+
+def _width(field: T.StructField) -> Column:
+    """About how many bytes a value takes."""
+    value = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(value)))
+    return F.lit(16)
 
 
-def broadcast_if_small(lookup: DataFrame, rows: int = LOOKUP_ROWS) -> DataFrame:
-    """Hint a broadcast for a lookup of at most ``rows`` rows; leave a larger one to a shuffle join."""
-    return F.broadcast(lookup) if lookup.limit(rows + 1).count() <= rows else lookup
+def broadcast_if_small(lookup: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> DataFrame:
+    """Hint a broadcast for a lookup of at most ``rows`` rows and ``size`` bytes; leave a larger one to a shuffle join."""
+    width = reduce(lambda a, b: a + b, map(_width, lookup.schema.fields), F.lit(0))
+    found = lookup.limit(rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(lookup) if found["n"] <= rows and found["bytes"] <= size else lookup
 
 
 def map_values(

@@ -103,3 +103,13 @@ def test_very_many_wildcard_keywords_make_no_nested_loop(spark):
     assert got == want
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_broadcast_is_bounded_by_rows_and_bytes(spark):
+    def hinted(df, **limits):
+        return "strategy=broadcast" in lk.broadcast_if_small(df, **limits)._jdf.queryExecution().analyzed().toString()
+
+    df = spark.createDataFrame([("a" * 90, 1, ["b" * 90]), (None, 2, None)], "`a.b` string, n int, l array<string>")
+    assert hinted(df) and hinted(df, rows=2, size=300)
+    assert not hinted(df, rows=1) and not hinted(df, size=200) and not hinted(df.select("`a.b`"), size=80)
+    assert hinted(df.limit(0), rows=0, size=0)

@@ -717,6 +717,18 @@ SELECTS["rejoined_totals"] = (
     "(SELECT order_id, total_amount FROM so) LEFT JOIN (SELECT order_id, product_title, quantity FROM sl) USING (order_id) "
     "LEFT JOIN (SELECT order_id, tracking_number, shipment_status FROM ss) USING (order_id) GROUP BY order_id")
 
+SELECTS["replaced_load"] = (
+    "order_id=id _daton_batch_id financial_status loaded_rows=count(*)OVER()", "raw_orders")
+SELECTS["replaced_lookup"] = (
+    "country_code=lpad(n_nationkey::VARCHAR,4,'0') country_name=n_name region=r_name",
+    "nation LEFT JOIN region ON r_regionkey = n_regionkey")
+SELECTS["exported_csv"] = ("order_id:i order_created_at:t total_amount:f is_canceled referring_site", "fo")
+SELECTS["orders_view"] = ("order_size_bucket n_orders=count(*) revenue:f=sum(total_amount)", "fo GROUP BY order_size_bucket")
+SELECTS["required_customer"] = ("order_id=id _daton_batch_id customer_id=customer[1].id", "raw_orders WHERE len(customer) > 0")
+SELECTS["times_of_rows"] = (
+    "order_id customer_id order_created_at:t order_processed_at:t _daton_batch_id is_stamped=true",
+    "typed WHERE customer_id IN (SELECT customer_id FROM dc)")
+
 _PICKED = (
     "dc LEFT JOIN (SELECT customer_id, customer_email AS last_email, order_source AS latest_order_source, "
     "referring_site AS latest_referring_site FROM so QUALIFY row_number() OVER (PARTITION BY customer_id "
@@ -889,6 +901,16 @@ def _stored_check_sql() -> list[str]:
     return [*map(_check_sql, lines), *further]
 
 
+def _check_metadata_sql() -> str:
+    lines = [
+        f"SELECT '{name}' AS check_name, '{model}' AS table_name, 'error' AS severity, {about} AS description, {owner} AS owner, "
+        f"(SELECT count(*) FROM {MODEL_STEPS[model]} WHERE {failing}) AS failures"
+        for name, model, _, failing in _FURTHER_CHECKS
+        for about, owner in [("'An order''s discount is part of its subtotal'", "'order data'") if "discount" in name else ("NULL", "NULL")]
+    ]
+    return "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n" + "\nUNION ALL ".join(lines) + ")"
+
+
 def oracle_sql() -> dict[str, str]:
     out = {name: _chain(_select(*parts)) for name, parts in SELECTS.items()}
     out |= {name: _chain(text.strip()) for name, text in _STATEMENTS.items()}
@@ -899,4 +921,5 @@ def oracle_sql() -> dict[str, str]:
             "SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
             f"FROM (\n{suite})"
         )
+    out["check_metadata"] = _chain(_check_metadata_sql())
     return out

@@ -12,16 +12,16 @@ from ledgerloom import schema as S
 from ledgerloom.catalog.feed_models import FeedModels, comparable, models_for
 from ledgerloom.catalog.lookups import lookup
 from ledgerloom.checks import rows as checks
-from ledgerloom.checks.suite import on_whole_tables, run_suite
+from ledgerloom.checks.suite import FURTHER, on_whole_tables, run_suite
 from ledgerloom.functions import segments
-from ledgerloom.functions.scalars import divide_or_null, from_epoch_millis
+from ledgerloom.functions.scalars import divide_or_null, from_epoch_millis, required_first_element
 from ledgerloom.operators import dedup, lookup as lk, nested, profile, ranking
 from ledgerloom.operators import windows as win
 from ledgerloom.operators.stored import new_folder, store
 from ledgerloom.plans import changes, dates, intermediate as mid, marts, staging, variants
 from ledgerloom.plans.incremental import IncrementalBuild
 from ledgerloom.plans.snapshot import OrderSnapshot
-from ledgerloom.sources import files
+from ledgerloom.sources import files, tables
 from ledgerloom.sources.versions import VersionStore
 from ledgerloom.streaming import feed as streaming
 
@@ -848,6 +848,72 @@ def streamed_customers(m):
     return _followed(m).dim_customers(m.as_of).drop("updated_at")
 
 
+# --- tables, views and files ------------------------------------------------------
+
+def _new_database(m):
+    database = f"catalog_{uuid.uuid4().hex}"
+    tables.ensure_database(m.spark, database)
+    return database
+
+
+@query
+def replaced_load(m):
+    # a load replaces the one before it whole, and says how many rows it has written
+    source, database = tables.Source("orders"), _new_database(m)
+    given = {"raw_schema": database}
+    tables.save_table(m.raw.where("test = 'true'"), source.name(given))
+    written = tables.save_table(m.raw, source.name(given))
+    read = store(source.read(m.spark, given).select(
+        F.col("id").alias("order_id"), "_daton_batch_id", "financial_status", F.lit(written).alias("loaded_rows")), "loaded")
+    m.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return read
+
+
+@query
+def replaced_lookup(m):
+    # codes keep their zeros under the given types; the second load has a column more
+    path, database = new_folder(m.spark, "codes"), _new_database(m)
+    name = f"{database}.codes"
+    _countries(m).withColumn("country_code", F.lpad("country_code", 4, "0")).write.option("header", True).csv(path)
+    read = files.read_lookup(m.spark, path, S.COUNTRY_CODES)
+    tables.replace_lookup(read.drop("region").limit(1), name)
+    tables.replace_lookup(read, name)
+    found = store(m.spark.table(name), "codes")
+    m.spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
+
+
+@query
+def exported_csv(m):
+    # types are detected when the file is read back
+    path = new_folder(m.spark, "export")
+    tables.export_csv(m.fct_orders.select("order_id", "order_created_at", "total_amount", "is_canceled", "referring_site"), path)
+    return files.read_lookup(m.spark, path)
+
+
+@query
+def orders_view(m):
+    name = f"orders_{uuid.uuid4().hex}"
+    tables.save_view(m.fct_orders, name)
+    return m.spark.sql(f"SELECT order_size_bucket, count(*) AS n_orders, sum(total_amount) AS revenue FROM {name} GROUP BY 1")
+
+
+@query
+def required_customer(m):
+    known = m.raw.where(F.size("customer") > 0)
+    return known.select(
+        F.col("id").alias("order_id"), "_daton_batch_id", required_first_element("customer")["id"].alias("customer_id"))
+
+
+@query
+def times_of_rows(m):
+    # times from text, and the time at which the dimension was made
+    age = F.timestamp_diff("HOUR", "updated_at", F.current_timestamp())  # the dimension was made by this session
+    stamped = m.dim_customers.select("customer_id", age.between(0, 47).alias("is_stamped"))
+    orders = staging.typed_orders(m.raw).select("order_id", "customer_id", "order_created_at", "order_processed_at", "_daton_batch_id")
+    return orders.join(stamped, "customer_id", "inner")
+
+
 # --- data checks -----------------------------------------------------------------
 
 @query
@@ -962,6 +1028,11 @@ def check_whole_tables(m):
     return report.select("check_name", "table_name", "severity", "failures", "status")
 
 
+@query
+def check_metadata(m):
+    return run_suite(FURTHER, m.tables()).select("check_name", "table_name", "severity", "description", "owner", "failures", "status")
+
+
 @query
 def incremental_checks(m):
     # kept over two increments: the second refresh reads what the second increment has replaced

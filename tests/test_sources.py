@@ -1,6 +1,7 @@
 import csv
 import datetime as dt
 import json
+import os
 
 import pytest
 from builders import AS_OF, line, order
@@ -207,3 +208,15 @@ def test_a_range_of_dates_reads_its_months_only(spark, raw):
     assert sorted(r.order_id for r in late.collect()) == ["8", "9"]
     plan = late._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "order_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_jsonl_is_compressed_and_split(spark, tmp_path, monkeypatch, raw):
+    monkeypatch.setattr(files, "RECORDS_PER_FILE", 2)
+    rows = raw(*[{"id": str(i), "line_items": [{"id": "1"}] if i % 2 else []} for i in range(5)]).coalesce(1)
+    path = str(tmp_path / "orders")
+    for times in (1, 2):
+        files.write_jsonl(rows, path, mode="append")
+        read = files.read_jsonl(spark, path)
+        assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect() * times))
+    names = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(names) == 6 and all(n.endswith(".json.gz") for n in names)

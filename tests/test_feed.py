@@ -4,6 +4,8 @@ import glob
 import pytest
 
 from ledgerloom import session
+from ledgerloom.catalog import queries
+from ledgerloom.catalog.feed_models import FeedModels
 from ledgerloom.operators import windows
 from ledgerloom.operators.stored import store
 from ledgerloom.sources import feed
@@ -78,3 +80,16 @@ def test_shuffles_grow_with_the_input_and_are_removed(spark):
     kept = store(spark.range(1000).groupBy("id").count(), "counted")
     assert kept.count() == 1000 and spark.conf.get(session.CLEAN_SHUFFLES, None) == before
     assert all(".zstd." in f for f in glob.glob(f"{kept.inputFiles()[0].removeprefix('file:').rsplit('/', 1)[0]}/part-*"))
+
+
+def test_first_product_reads_no_shipments(spark, folder):
+    found = []
+    for limit in ("2000000", "1"):
+        spark.conf.set(windows.HOT_ROWS_SETTING, limit)
+        try:
+            m = FeedModels(spark, folder)
+            found.append(sorted(map(str, queries.first_product(m).collect())))
+        finally:
+            spark.conf.unset(windows.HOT_ROWS_SETTING)
+        assert not {"fct_orders", "stg_fulfillments"} & set(vars(m))
+    assert found[0] == found[1] and len(found[0]) == 3

@@ -93,3 +93,13 @@ def test_first_product_reads_no_shipments(spark, folder):
             spark.conf.unset(windows.HOT_ROWS_SETTING)
         assert not {"fct_orders", "stg_fulfillments"} & set(vars(m))
     assert found[0] == found[1] and len(found[0]) == 3
+
+
+def test_the_feed_is_landed_when_a_query_reads_it(spark, folder, monkeypatch):
+    landed = []
+    monkeypatch.setattr(feed, "land_raw_orders", lambda *at: landed.append(at) or feed.derive_raw_orders(*at))
+    m = FeedModels(spark, folder)
+    spark.createDataFrame([(0, "A", 0)], "n_nationkey long, n_name string, n_regionkey long").write.mode("overwrite").parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey long, r_name string").write.mode("overwrite").parquet(f"{folder}/region.parquet")
+    assert queries.scan_lookup_csv(m).count() == 1 and not landed
+    assert queries.array_length(m).count() and m.raw is m.raw and len(landed) == 1

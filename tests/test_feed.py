@@ -103,3 +103,17 @@ def test_the_feed_is_landed_when_a_query_reads_it(spark, folder, monkeypatch):
     spark.createDataFrame([(0, "R")], "r_regionkey long, r_name string").write.mode("overwrite").parquet(f"{folder}/region.parquet")
     assert queries.scan_lookup_csv(m).count() == 1 and not landed
     assert queries.array_length(m).count() and m.raw is m.raw and len(landed) == 1
+
+
+def test_staged_models_that_are_read_once_are_not_stored(spark, folder):
+    once, kept = FeedModels(spark, folder), FeedModels(spark, folder)
+    staged = {"stg_orders", "stg_line_items", "stg_fulfillments"}
+    assert all(getattr(kept, name).count() for name in staged) and kept.fct_orders.count()
+    for query in ("fct_orders", "order_date_parts", "rejoin_children", "rejoined_totals", "order_quartiles", "order_percent_rank",
+                  "monthly_customers", "product_latest_attrs", "check_accepted_values", "dedup_revenue_compare"):
+        a, b = (sorted(map(str, getattr(queries, query)(m).collect())) for m in (once, kept))
+        assert a == b and (a or query in ("monthly_customers", "check_accepted_values")), query
+    assert not (staged | {"fct_orders"}) & set(vars(once))
+    # the shuffles of the fact's lines hold what is summed, and no text of a product
+    plan = queries.fct_orders(once)._jdf.queryExecution().executedPlan().toString()
+    assert "quantity" in plan and "vendor" not in plan and "tracking_number" not in plan

@@ -220,3 +220,14 @@ def test_jsonl_is_compressed_and_split(spark, tmp_path, monkeypatch, raw):
         assert sorted(map(str, read.collect())) == sorted(map(str, rows.collect() * times))
     names = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(names) == 6 and all(n.endswith(".json.gz") for n in names)
+
+
+def test_saved_tables_are_zstd_and_leave_the_setting_of_shuffles(spark):
+    from ledgerloom import session
+
+    before = spark.conf.get(session.CLEAN_SHUFFLES, None)
+    tables.save_table(spark.range(100).selectExpr("cast(id as string) AS id"), "zstd_kept", bucket_by=(2, "id"))
+    kept = spark.table("zstd_kept")
+    assert kept.count() == 100 and all(".zstd." in f for f in kept.inputFiles())
+    assert spark.conf.get(session.CLEAN_SHUFFLES, None) == before
+    spark.sql("DROP TABLE zstd_kept")

@@ -148,6 +148,40 @@ def test_replace_latest_equals_dedup_of_both(raw):
     same(now, latest_per_key(staging.typed_orders(raw(*first, *second)), *by_key))
 
 
+def test_many_arrivals_are_shuffled_once_with_the_kept_rows(spark, raw, tmp_path, monkeypatch):
+    from ledgerloom.operators import dedup
+
+    monkeypatch.setattr(dedup, "FEW_ARRIVALS", 2, raising=False)
+    rng = random.Random(5)
+    first = [order(rng.choice("123456"), rng.randrange(4), financial_status=rng.choice(["PENDING", None])) for _ in range(12)]
+    second = [order(rng.choice(["1", "3", "8", None]), rng.randrange(9)) for _ in range(12)]
+    # versions of one batch must not differ
+    first, second = (list({(r["id"], r["_daton_batch_id"]): r for r in rows}.values()) for rows in (first, second))
+    spark.createDataFrame(latest_per_key(staging.typed_orders(raw(*first)), ["order_id"], staging.order_recency()).collect(),
+                          staging.typed_orders(raw(*first)).schema).write.parquet(str(tmp_path / "kept"))
+    kept, came = spark.read.parquet(str(tmp_path / "kept")), staging.typed_orders(raw(*second))
+    now = replace_latest(kept, came, ["order_id"], staging.ORDER_RECENCY)
+    assert now._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    # of equals, the arrival stays
+    both = {r["order_id"]: r for r in kept.collect()}
+    for r in sorted(came.collect(), key=lambda r: r["synced_at"]):
+        if r["order_id"] not in both or r["synced_at"] >= both[r["order_id"]]["synced_at"]:
+            both[r["order_id"]] = r
+    assert sorted(map(str, now.collect())) == sorted(map(str, both.values()))
+
+
+def test_staged_rows_are_dealt_to_their_partitions_when_they_are_published(build, spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 3).alias("part_month"))
+    build.tables.begin(1)
+    staged = build.tables.stage(1, "lines", rows, [0, 1, 2, 7])
+    assert len(staged.inputFiles()) == 4  # as many as tasks made them: nothing was shuffled
+    build.tables.commit(1)
+    assert build.tables.partitions()["lines"] == [0, 1, 2] and len(build.tables.table("lines").inputFiles()) == 3
+    same(build.tables.table("lines"), rows)
+
+
 def test_a_stream_feeds_the_build_and_a_batch_cut_short_counts_once(spark, raw, tmp_path, monkeypatch):
     folder = str(tmp_path / "in")
     build = IncrementalBuild(spark, str(tmp_path / "fed"), buckets=4)

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that a task remembers; beyond that it starts anew.
-CACHED_WORDS = 250_000
+#: Words that a task remembers, and runs of letters; beyond either it starts anew with them.
+CACHED_WORDS = 500_000
+CACHED_PARTS = 500_000
 #: Precomposed Latin letters, which normalisation leaves as they are, and marks that no pattern treats alike.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
@@ -27,6 +30,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(next(rest)) for b in range(256)}
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian ids of two bytes; many short lists, for which numpy is slow."""
+    found = array("H", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 class WordTokens:
     held: dict[str, WordTokens] = {}
 
@@ -56,37 +67,45 @@ class WordTokens:
 
     def part(self, text: str) -> bytes:
         """Ids of a run of letters, or of marks, that the tokenizer takes as one."""
-        found = self.parts.get(text)
-        if found is None:
-            written = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-            found = self.parts[text] = np.array([t.id for t in self.model.tokenize(written)], "<u2").tobytes()
+        written = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        found = self.parts[text] = packed([t.id for t in self.model.tokenize(written)])
         return found
 
     def learn(self, words: list[str]) -> None:
-        odd = []
+        odd, known, parts, matched = [], self.words, self.parts, PLAIN.fullmatch
+        if len(parts) > CACHED_PARTS:
+            parts.clear()
         for word in words:
-            if m := PLAIN.fullmatch(word):
-                self.words[word] = self.part(m[1].lower()) + (self.part(m[2]) if m[2] else b"")
+            if m := matched(word):
+                letters, marks = m.groups()
+                letters = letters.lower()
+                ids = parts.get(letters)
+                if ids is None:
+                    ids = self.part(letters)
+                if marks:
+                    more = parts.get(marks)
+                    ids += self.part(marks) if more is None else more
+                known[word] = ids
             elif word:
                 odd.append(word)
             else:
-                self.words[word] = b""
-        for word, found in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False), strict=True):
-            self.words[word] = np.array(found.ids, "<u2").tobytes()
+                known[word] = b""
+        for word, found in zip(odd, self.whole.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            known[word] = packed(found.ids)
 
     def encode(self, texts: list[str], end_id: int | None = None) -> list[bytes]:
         """Little-endian two-byte ids of each text, with ``end_id`` behind them."""
         end = b"" if end_id is None else np.array([end_id], "<u2").tobytes()
         lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
         found = lists.flatten().dictionary_encode()
-        distinct = found.dictionary.to_pylist()
-        missing = [w for w in distinct if w not in self.words]
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.words.get, distinct))
+        missing = [w for w, known in zip(distinct, ids, strict=True) if known is None]
         if len(self.words) + len(missing) > CACHED_WORDS:
-            self.forget()
-            missing = distinct
+            self.words.clear()
         self.learn(missing)
-        ids = [self.words[w] for w in distinct]
-        sizes = np.array([len(x) // 2 for x in ids], dtype=np.int64)
+        ids = [self.words[w] if known is None else known for w, known in zip(distinct, ids, strict=True)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
         flat, starts = np.frombuffer(b"".join(ids), "<u2"), np.cumsum(sizes) - sizes
         at = found.indices.to_numpy(zero_copy_only=False)
         n = sizes[at]

@@ -86,6 +86,30 @@ def test_a_full_cache_starts_anew(monkeypatch):
         assert got == fresh.encode([text, text])
 
 
+def test_runs_of_letters_are_encoded_once_when_the_words_start_anew(monkeypatch):
+    import ledgerloom.llm.word_tokens as module
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.seen = model, []
+
+        def tokenize(self, text):
+            self.seen.append(text)
+            return self.model.tokenize(text)
+
+    monkeypatch.setattr(module, "CACHED_WORDS", 3)
+    words, tokenizer = WordTokens(PATH), Tokenizer.from_file(PATH)
+    words.model = Counted(words.model)
+    for text in ("one two three", "four, one", "Two. five three!", "one four, six"):
+        assert np.frombuffer(words.encode([text])[0], "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(words.model.seen) == sorted({*words.model.seen}) and "one" in words.model.seen
+    # too many of them start anew as well
+    monkeypatch.setattr(module, "CACHED_PARTS", 2)
+    words.encode(["seven eight", "nine"])
+    words.encode(["ten"])
+    assert words.parts.keys() <= {"seven", "eight", "nine", "ten"}
+
+
 def check(rows, texts, capacity=2048):
     tokenizer = Tokenizer.from_file(PATH)
     by = defaultdict(list)

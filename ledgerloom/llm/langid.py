@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_sample, map_texts, plain, slices, texts_of
+from ledgerloom.llm.common import bounded_sample, in_batches, map_texts, plain, slices, texts_of
 from ledgerloom.llm.ngrams import codes
 from ledgerloom.operators.stored import store
 
@@ -72,7 +72,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per
                 names=["lang", "bucket", "n"])
 
     counts = (
-        sample.coalesce(8).mapInArrow(count, "lang string, bucket int, n long")
+        in_batches(sample.coalesce(8), count, "lang string, bucket int, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     )
     languages = sorted(counts["lang"].unique())

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.blocks import clusters, in_blocks, main_comp
-from ledgerloom.llm.common import slices, texts_of
+from ledgerloom.llm.common import in_batches, slices, texts_of
 from ledgerloom.llm.components import components
 from ledgerloom.llm.exact_dedup import staying
 from ledgerloom.llm.word_hashes import GOLDEN, cells, mix, shingles, word_hashes
@@ -140,7 +140,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     pa.array([x if y else None for x, y in zip(sketch, some, strict=True)], pa.list_(pa.int64())),
                 ], names=["id", "row", "sha", "print", "bands", "sketch"])
 
-    return store(rows.mapInArrow(sign, f"id {kind}, row long, sha binary, print binary, bands array<long>, sketch array<long>"), "signed")
+    return store(in_batches(rows, sign, f"id {kind}, row long, sha binary, print binary, bands array<long>, sketch array<long>"), "signed")
 
 
 def cells_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -307,7 +307,7 @@ def elements_of(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, repeated:
                 found = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(cell.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("node"), found], names=["node", "cells"])
 
-    found = texts.mapInArrow(count, "node long, cells array<long>")
+    found = in_batches(texts, count, "node long, cells array<long>")
     # rows that repeat an id and a text give their node's cells again
     return store(found.groupBy("node").agg(F.first("cells").alias("cells")) if repeated else found, "elements")
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices, texts_of
+from ledgerloom.llm.common import in_batches, slices, texts_of
 from ledgerloom.llm.word_tokens import WordTokens
 from ledgerloom.operators.stored import store
 
@@ -178,7 +178,7 @@ def tokenised(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_co
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return store(rows.mapInArrow(encode, f"id {kind}, ids binary, n long, rest int, task int, rank long, full long"), "tokens")
+    return store(in_batches(rows, encode, f"id {kind}, ids binary, n long, rest int, task int, rank long, full long"), "tokens")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id",
@@ -232,5 +232,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 1,
                     columns = list(zip(*out, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(columns[0], part.schema.field(0).type), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.binary()), *[pa.array(c, pa.int64()) for c in columns[4:]]], names=["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
-    made = placed.mapInArrow(cut, f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    made = in_batches(placed, cut, f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return made.withColumnRenamed("id", id_col)

@@ -9,7 +9,7 @@ from ledgerloom.plans import marts
 def test_row_checks_do_not_go_through_the_shuffle_by_key(spark):
     t = spark.createDataFrame([(1, None), (1, 2), (None, 3)], "id long, x long")
     report = run_suite([Check("t", "unique", "id"), Check("t", "not_null", "x"), Check("t", "not_null", "id")], {"t": t})
-    grouped = [x for x in report._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [_key#" in x]
+    grouped = [x for x in report._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [" in x and "_key#" in x.split("]")[0]]
     assert grouped and not any(" AS _0#" in x for x in grouped)
     assert sorted((r.check_name, r.failures) for r in report.collect()) == [("not_null_t_id", 1), ("not_null_t_x", 1), ("unique_t_id", 1)]
 

@@ -231,3 +231,17 @@ def test_saved_tables_are_zstd_and_leave_the_setting_of_shuffles(spark):
     assert kept.count() == 100 and all(".zstd." in f for f in kept.inputFiles())
     assert spark.conf.get(session.CLEAN_SHUFFLES, None) == before
     spark.sql("DROP TABLE zstd_kept")
+
+
+def test_nearly_unique_columns_are_written_without_a_dictionary(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from ledgerloom.operators.stored import store
+
+    rows = spark.range(0, 40_000, 1, 1).selectExpr("concat('order-', id) AS id", "concat('state-', id % 5) AS state")
+    tables.save_table(rows, "plainly_kept")
+    for kept in (spark.table("plainly_kept"), store(rows, "plain")):
+        (file,) = kept.inputFiles()
+        held = pq.ParquetFile(file.removeprefix("file://").removeprefix("file:")).metadata.row_group(0)
+        assert ["PLAIN" in held.column(i).encodings for i in (0, 1)] == [True, False]
+    spark.sql("DROP TABLE plainly_kept")

@@ -170,3 +170,23 @@ def test_dates_are_calendar_days(raw):
     df = raw(order("1", created_at="2024-01-01 23:59:00"), order("2", created_at="2024-01-02 00:01:00"))
     assert by(staging.stg_orders(df), "order_id")["2"].days_since_previous_order == 1
     assert by(staging.stg_orders(df), "order_id")["2"].previous_order_at == dt.datetime(2024, 1, 1, 23, 59)
+
+
+def test_split_lines_store_only_what_is_wanted(spark, raw, monkeypatch):
+    from ledgerloom.operators import windows
+
+    rows = raw(*[order(str(i), b, line_items=[line(f"{i}{n}", quantity=str(n + b)) for n in range(1, 5)]) for i in range(4) for b in (0, 1)])
+    stored = {}
+
+    def noted(real):
+        return lambda df, label: stored.setdefault(label, df) and real(df, label)
+
+    for module in (staging, windows):
+        monkeypatch.setattr(module, "store", noted(module.store))
+    columns = ["order_id", "line_item_id", "line_item_sequence", "order_line_item_count", "order_total_quantity", "line_share_of_order"]
+    split = staging.stg_line_items(rows, hot_rows=2, only=("order_id", "line_item_id")).select(*columns)
+    assert stored["lines"].columns == list(staging.LINE_WINDOWED)
+    assert not {"product_id", "synced_at", "product_title"} & set(stored["split"].columns)
+    # the rows of hot orders come from what was stored, not from the feed once more
+    assert "line_items" not in stored["split"]._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, split.collect())) == sorted(map(str, staging.stg_line_items(rows).select(*columns).collect()))

@@ -117,3 +117,17 @@ def test_staged_models_that_are_read_once_are_not_stored(spark, folder):
     # the shuffles of the fact's lines hold what is summed, and no text of a product
     plan = queries.fct_orders(once)._jdf.queryExecution().executedPlan().toString()
     assert "quantity" in plan and "vendor" not in plan and "tracking_number" not in plan
+
+
+def test_elements_are_made_before_they_are_collected(spark, folder):
+    plan = feed.derive_raw_orders(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    collected = [x for x in plan.split("\n") if "Aggregate(" in x and "collect_list" in x and "l_orderkey" in x]
+    assert collected and not any("struct(" in x for x in collected)
+
+
+def test_the_latest_of_the_buckets_is_stored_as_it_is_read(spark, monkeypatch):
+    stored, real = {}, queries.store
+    monkeypatch.setattr(queries, "store", lambda df, label: stored.setdefault(label, df) and real(df, label))
+    latest = queries.QUERIES["bucketed_latest_order"](spark, "/root/testdata/sf0.001")
+    assert latest.count() == 1500
+    assert stored["bucketed"].columns == ["order_id", "payment_status", "total_amount", "synced_at", "_daton_batch_id"]
